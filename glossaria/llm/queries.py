@@ -7,9 +7,29 @@ from pyspark.sql import functions as F
 
 from glossaria.llm.confusables import consistent
 from glossaria.llm.topn import top_n
+from glossaria.llm.truncation import find_truncated, truncation_rates
 from glossaria.tables import table
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Glosses and answers as ``(tab, row_id, source, owner, text)``; the owner is the article the text is about."""
+    glosses = table(spark, sf, "lemma_map").select(
+        F.lit("lemma_map").alias("tab"), "row_id", "source", F.coalesce("key", "lemma").alias("owner"), F.col("gloss").alias("text")
+    )
+    answers = table(spark, sf, "freqfix_fw_headings2_ckpt").select(
+        F.lit("freqfix_fw_headings2_ckpt").alias("tab"), F.col("rec_id").alias("row_id"), F.col("run").alias("source"), F.col("i").cast("string").alias("owner"), F.col("g").alias("text")
+    )
+    return glosses.unionByName(answers)
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_truncated(_texts(spark, sf)).select("tab", "row_id")
+
+
+def p1_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return truncation_rates(_texts(spark, sf))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lemma_map", "row_id", "form", "headword")
     fields = [F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("form", "headword")]
@@ -26,7 +46,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id").select("row_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_consistent": p2_consistent, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p5_found": p5_found}
 ORACLE = {
     "p5_found": """
         WITH once AS (
