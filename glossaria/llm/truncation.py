@@ -115,7 +115,7 @@ def verdicts(grams: DataFrame, limits: Limits = Limits()) -> DataFrame:
                    {ended.format(t="g")} AS e3, {total.format(t="g")} AS n3, g.n_dot AS dot3, g.n_stop - 1 AS stop3,
                    {ended.format(t="p")} AS e2, {total.format(t="p")} AS n2,
                    coalesce({ended.format(t="u")}, 0) AS e1, coalesce({total.format(t="u")}, 0) AS n1,
-                   coalesce(u.n_end + u.n_stop - 1, 0) AS t1, coalesce(u.n_in + u.n_mark + IF(g.dotted, u.n_dot, 0), 0) AS i1, coalesce(u.n_dot, 0) AS dot1,
+                   coalesce(u.n_end + u.n_stop - 1, 0) AS t1, coalesce(u.n_in + u.n_mark + IF(g.dotted, u.n_dot, 0), 0) AS i1, coalesce(u.n_dot + u.n_stop - 1, 0) AS dot1,
                    coalesce(l3.n, 0) AS l3, coalesce(l2.n, 0) AS l2, coalesce(l1.n, 0) AS l1
             FROM (SELECT *, explode(array(false, true)) AS dotted FROM _truncation_grams) g
             JOIN pairs p ON p.b = g.b AND p.w = g.w
