@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaria.llm.confusables import consistent
+from glossaria.llm.pii import find_pii, redact
 from glossaria.llm.topn import top_n
 from glossaria.llm.truncation import find_truncated, truncation_rates
 from glossaria.tables import table
@@ -46,7 +47,16 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id").select("row_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p5_found": p5_found}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    return find_pii(docs, "doc_id", "text", table(spark, sf, "name_list")).select("doc_id", "pii_type", "start_pos")
+
+
+def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return redact(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf, "name_list"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p5_found": p5_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE = {
     "p5_found": """
         WITH once AS (
