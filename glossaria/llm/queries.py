@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaria.llm.confusables import consistent
+from glossaria.llm.pairs import find_defects
 from glossaria.llm.pii import find_pii, redact
 from glossaria.llm.topn import top_n
 from glossaria.llm.truncation import find_truncated, truncation_rates
@@ -43,6 +44,12 @@ def p2_consistent(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("row_id", consistent(F.col("form")).alias("form"), consistent(F.col("headword")).alias("headword"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    answers = table(spark, sf, "freqfix_fw_headings2_ckpt").select("rec_id", F.col("i").alias("idx"), F.col("g").alias("text"), "run")
+    glosses = table(spark, sf, "lemma_map").select(F.coalesce("key", "lemma").alias("owner"), F.col("gloss").alias("text"))
+    return find_defects(answers, table(spark, sf, "entry", "idx", "headword", "body"), table(spark, sf, "prompt_text", "body"), glosses)
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id").select("row_id")
 
@@ -56,7 +63,7 @@ def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return redact(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf, "name_list"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p5_found": p5_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p5_found": p5_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE = {
     "p5_found": """
         WITH once AS (
