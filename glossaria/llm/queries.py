@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaria.llm.confusables import consistent
+from glossaria.llm.mixing import mix_report, pareto_mix
+from glossaria.llm.packing import fill_report, pack
 from glossaria.llm.pairs import find_defects
 from glossaria.llm.pii import find_pii, redact
+from glossaria.llm.tokens import count_tokens
 from glossaria.llm.topn import top_n
 from glossaria.llm.truncation import find_truncated, truncation_rates
 from glossaria.tables import table
+from glossaria.workspace import materialise
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,6 +58,29 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id").select("row_id")
 
 
+def _sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of all documents in tokens, counted once."""
+    return materialise(count_tokens(table(spark, sf, "documents", "doc_id", "source", "text"), "text", ["doc_id", "source"]), "sizes")
+
+
+def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(_sizes(spark, sf), table(spark, sf, "pack_spec"))
+
+
+def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
+    specs = table(spark, sf, "pack_spec")
+    return fill_report(pack(_sizes(spark, sf), specs), specs)
+
+
+def p7_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return pareto_mix(_sizes(spark, sf), table(spark, sf, "mix_target"))
+
+
+def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
+    targets = table(spark, sf, "mix_target")
+    return mix_report(pareto_mix(_sizes(spark, sf), targets), targets)
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
     return find_pii(docs, "doc_id", "text", table(spark, sf, "name_list")).select("doc_id", "pii_type", "start_pos")
@@ -63,7 +90,12 @@ def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return redact(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf, "name_list"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p5_found": p5_found, "p8_found": p8_found, "p8_redacted": p8_redacted}
+QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p5_found": p5_found,
+    "p6_packed": p6_packed,
+    "p6_fill": p6_fill,
+    "p7_mixed": p7_mixed,
+    "p7_shares": p7_shares,
+    "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE = {
     "p5_found": """
         WITH once AS (
