@@ -70,9 +70,9 @@ def length_limits(answers: DataFrame, factor: float = 4.0, least: int = 20) -> D
 
 
 def english_words(glosses: DataFrame, least_owners: int = 3) -> DataFrame:
-    """Words ``(word)`` of reference glosses ``(owner, text)`` that at least ``least_owners`` different owners use inside or at the end of a text."""
-    words = glosses.where("text is not null").select("owner", F.explode(F.array_distinct(F.split(words_key(F.col("text")), " "))).alias("word"))
-    return words.where("word != ''").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_owners).select("word")
+    """Words ``(word)`` of reference glosses ``(key, owners)`` that glosses of at least ``least_owners`` owners use."""
+    words = glosses.select("owners", F.explode(F.array_distinct(F.split("key", " "))).alias("word"))
+    return words.where("word != ''").groupBy("word").agg(F.sum("owners").alias("n")).where(F.col("n") >= least_owners).select("word")
 
 
 # Frequent English words that a list of short glosses may lack.
@@ -84,8 +84,8 @@ COMMON_ENGLISH = (
 
 
 def english_share(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``(text, known, total)``: how many words of each distinct text are in the vocabulary; a word counts as often as it stands."""
-    words = texts.select("text", F.explode(F.split(words_key(F.col("text")), " ")).alias("word")).where("word != '' and not word rlike '^[0-9]+$'")
+    """``(text, known, total)``: how many words of each distinct ``(text, key)`` are in the vocabulary; a word counts as often as it stands."""
+    words = texts.select("text", F.explode(F.split("key", " ")).alias("word")).where("word != '' and not word rlike '^[0-9]+$'")
     known = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([(w,) for w in COMMON_ENGLISH], "word string")).distinct().withColumn("known", F.lit(1))
     return words.join(known, "word", "left").groupBy("text").agg(F.count("known").alias("known"), F.count(F.lit(1)).alias("total"))
 
@@ -113,46 +113,52 @@ def find_defects(
     for each article. Tables may be empty; other columns are never read.
     """
     rows = answers.select("rec_id", "idx", "text", "run")
-    empty = rows.where("text is null or not text rlike r'[\\p{L}\\p{N}]'").select("rec_id", F.lit("empty").alias("defect"))
-    pairs = materialise(rows.where("text rlike r'[\\p{L}\\p{N}]'").select("idx", "text", "run").distinct().withColumn("key", words_key(F.col("text"))), "answers")
-
+    says = F.col("text").rlike(r"[\p{L}\p{N}]")
+    empty = rows.where(F.col("text").isNull() | ~says).select("rec_id", F.lit("empty").alias("defect"))
+    # each step is written: the next ones plan over files, and no step is computed twice
+    pairs = materialise(rows.where(says).select("idx", "text", "run").distinct().withColumn("key", words_key(F.col("text"))), "answers")
+    good = glosses.where("text is not null").groupBy("text").agg(F.count_distinct("owner").alias("owners"), F.count(F.lit(1)).alias("n"))
+    good = materialise(good.withColumn("key", words_key(F.col("text"))), "glosses")
     once = pairs.select("idx", "text", "key").distinct()
-    seen = articles.select("idx", words_key(F.col("headword")).alias("head"), words_key(F.col("body")).alias("article"))
-    looked = lookup_join(once, seen, "idx")
-    head = F.length("head") > 0
-    repeats = head & (F.replace(F.concat(F.lit(" "), F.replace(F.col("key"), F.lit(" "), F.lit("  ")), F.lit(" ")), F.concat(F.lit(" "), F.replace(F.col("head"), F.lit(" "), F.lit("  ")), F.lit(" ")), F.lit("")) == "")
-    article = head & F.startswith("key", F.concat("head", F.lit(" "))) & F.startswith("article", F.col("key"))
-    asked = F.lit(False)
-    for part in _instructions(prompts, most_prompts, least_words):
-        begun = F.startswith(F.lit(part), F.col("key")) & (F.size(F.split("key", " ")) >= least_words)
-        asked = asked | F.contains("key", F.lit(part)) | begun
-    copies = looked.where((F.col("key") == F.col("head")) | repeats | article | asked).select("idx", "text", F.lit(1).alias("copy"))
+    distinct = pairs.select("text", "key").distinct()
 
-    distinct = once.groupBy("text").agg(F.first("key").alias("key"))
-    known = glosses.where("text is not null").select(words_key(F.col("text")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    refusals = distinct.where(F.col("key").rlike(f"^(?:{_DECLINES}|{_NOTHING_SAID})$")).join(known, "key", "left_anti").select("text", F.lit(1).alias("refusal"))
+    copies = materialise(_copies(once, articles, _instructions(prompts, most_prompts, least_words), least_words), "copies")
+
+    known = good.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    refusals = materialise(distinct.where(F.col("key").rlike(f"^(?:{_DECLINES}|{_NOTHING_SAID})$")).join(known, "key", "left_anti").select("text", F.lit("refusal").alias("found")), "refusals")
 
     units = glosses.select(F.concat(F.lit("g"), F.col("owner")).alias("owner"), "text").unionByName(once.select(F.concat(F.lit("a"), F.col("idx").cast("string")).alias("owner"), "text"))
-    cut = truncated_texts(units, limits).join(distinct, "text", "left_semi")
+    cut = materialise(truncated_texts(units, limits).join(distinct, "text", "left_semi"), "cut")
     # evidence of the neighbours: continued inside a word by an answer to the same article, or by any at a length limit
     mid_word = F.substring("longer", F.col("common") + 1, F.lit(1)).rlike(r"\p{L}") & F.substring("text", -1, 1).rlike(r"\p{L}")
-    neighbours = shortened(distinct).where(mid_word)
-    limit = pairs.withColumn("n_chars", F.length("text")).join(length_limits(pairs), ["run", "n_chars"], "left_semi").select("text").distinct()
+    neighbours = materialise(shortened(distinct).where(mid_word), "neighbours")
+    limit = pairs.withColumn("n_chars", F.length("text")).join(length_limits(pairs), ["run", "n_chars"], "left_semi").select("text")
     by_limit = neighbours.join(limit, "text", "left_semi").select("text")
     same = neighbours.join(once.select("idx", "text"), "text").join(once.select("idx", F.col("text").alias("longer")), ["idx", "longer"], "left_semi").select("text")
-    cut = cut.unionByName(by_limit).unionByName(same).distinct().withColumn("cut", F.lit(1))
-
-    share = english_share(distinct.select("text"), english_words(glosses))
-    foreign = share.where(F.col("known") < least_share * F.col("total")).select("text", F.lit(1).alias("foreign"))
-
-    verdict = (
-        distinct.select("text")
-        .join(refusals, "text", "left")
-        .join(cut, "text", "left")
-        .join(foreign, "text", "left")
-        .select("text", F.when(F.col("refusal") == 1, "refusal").when(F.col("cut") == 1, "truncated").when(F.col("foreign") == 1, "language").alias("found"))
-    )
-    per_pair = once.select("idx", "text").join(verdict, "text").join(copies, ["idx", "text"], "left").select("idx", "text", F.when(F.col("copy") == 1, "copy").otherwise(F.col("found")).alias("defect"))
-    bad = per_pair.where("defect is not null").select(F.col("idx").alias("_idx"), F.col("text").alias("_text"), "defect")
-    hit = (F.col("text") == F.col("_text")) & F.col("idx").eqNullSafe(F.col("_idx"))
-    return rows.join(bad, hit).select("rec_id", "defect").unionByName(empty)
+    cut = cut.unionByName(by_limit).unionByName(same).select("text", F.lit("truncated").alias("found"))
+
+    share = english_share(distinct, english_words(good))
+    foreign = share.where(F.col("known") < least_share * F.col("total")).select("text", F.lit("language").alias("found"))
+
+    order = F.min(F.struct(F.array_position(F.array(*map(F.lit, ("refusal", "truncated", "language"))), F.col("found")).alias("k"), "found"))
+    verdict = materialise(refusals.unionByName(cut).unionByName(foreign).groupBy("text").agg(order.alias("v")).select("text", "v.found"), "verdicts")
+    copied = copies.select(F.col("idx").alias("_idx"), F.col("text").alias("_text"))
+    is_copy = F.col("text").eqNullSafe(F.col("_text")) & F.col("idx").eqNullSafe(F.col("_idx"))
+    by_copy = rows.join(copied, is_copy, "left_semi").select("rec_id", F.lit("copy").alias("defect"))
+    others = rows.join(copied, is_copy, "left_anti").join(verdict, "text").select("rec_id", F.col("found").alias("defect"))
+    return by_copy.unionByName(others).unionByName(empty)
+
+
+def _copies(once: DataFrame, articles: DataFrame, instructions: list[str], least_words: int) -> DataFrame:
+    """Those of the answers ``(idx, text, key)`` that give back the headword, the article's beginning or an instruction."""
+    seen = articles.select("idx", F.col("headword"), F.col("body"))
+    looked = lookup_join(once, seen, "idx").withColumn("head", words_key(F.col("headword"))).withColumn("article", words_key(F.col("body")))
+    head = F.length("head") > 0
+    apart = [F.concat(F.lit(" "), F.replace(F.col(c), F.lit(" "), F.lit("  ")), F.lit(" ")) for c in ("key", "head")]
+    repeats = head & (F.replace(*apart, F.lit("")) == "")
+    article = head & F.startswith("key", F.concat("head", F.lit(" "))) & F.startswith("article", F.col("key"))
+    asked = F.lit(False)
+    for part in instructions:
+        begun = F.startswith(F.lit(part), F.col("key")) & (F.size(F.split("key", " ")) >= least_words)
+        asked = asked | F.contains("key", F.lit(part)) | begun
+    return looked.where((F.col("key") == F.col("head")) | repeats | article | asked).select("idx", "text")
