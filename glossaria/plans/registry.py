@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ["references", "corpus"]
+MODULES = ["references", "corpus", "lexicon", "judgements"]
 
 
 def _all(what: str) -> dict:
