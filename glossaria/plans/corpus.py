@@ -183,9 +183,9 @@ def _grounding_sql() -> str:
         FROM (SELECT rec_id, p, g, {gloss} AS gs, {body} AS bs FROM freqfix_fw_headings2_ckpt k JOIN entry e ON k.i = e.idx WHERE g IS NOT NULL) x"""
 
 
-_WORDS = r"list_filter(string_split(trim(regexp_replace({x}, '[\s\x{{00A0}}\x{{2007}}]+', ' ', 'g')), ' '), lambda w: w <> '')"
+_WORDS = r"list_filter(string_split(trim(regexp_replace({x}, '[\s\x{{00A0}}\x{{2007}}\x{{202F}}]+', ' ', 'g')), ' '), lambda w: w <> '')"
 _HEAD = "'<entry id=\"' || idx || '\"><orth>' || headword || '</orth>  <sense n=''1''>' || body || '</sense>' || chr(10) || '</entry>'"
-_SPACE = r"trim(regexp_replace({x}, '[\s\x{{00A0}}\x{{2007}}]+', ' ', 'g'))"
+_SPACE = r"trim(regexp_replace({x}, '[\s\x{{00A0}}\x{{2007}}\x{{202F}}]+', ' ', 'g'))"
 
 
 def _peeled(x: str) -> str:
