@@ -44,15 +44,15 @@ def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None, most_so
     rows = wanted.join(F.broadcast(have.join(F.broadcast(wanted.select("source")), "source", "left_semi")), "source", "left").fillna(0, ["n_docs", "tokens"])
     share = F.when((F.col("target_share") > 0) & (F.col("tokens") > 0) & (F.col("max_repeats") > 0), F.col("target_share")).otherwise(0.0)
     everything = Window.partitionBy()
-    rows = rows.withColumn("share", share).withColumn("share", F.col("share") / F.sum("share").over(everything))
-    most = F.min(F.when(F.col("share") > 0, F.col("max_repeats") * F.col("tokens") / F.col("share"))).over(everything)
+    rows = rows.withColumn("share", share).withColumn("share", F.try_divide(F.col("share"), F.sum("share").over(everything)))
+    most = F.min(F.try_divide(F.col("max_repeats") * F.col("tokens"), F.col("share"))).over(everything)
     rows = rows.withColumn("total", F.least(most, F.lit(float(total)) if total is not None else most)).withColumn("budget", F.coalesce(F.col("share") * F.col("total"), F.lit(0.0)))
-    times = F.when(F.col("budget") > 0, F.least(F.col("budget") / F.col("tokens"), F.col("max_repeats").cast("double"))).otherwise(0.0)
+    times = F.when(F.col("budget") > 0, F.least(F.try_divide(F.col("budget"), F.col("tokens")), F.col("max_repeats").cast("double"))).otherwise(0.0)
     return (
         rows.withColumn("times", times)
         .withColumn("copies", F.floor(F.col("times") + 1e-9).cast("int"))
         .withColumn("rest", F.greatest(F.col("budget") - F.col("copies") * F.col("tokens"), F.lit(0.0)))
-        .withColumn("fraction", F.when(F.col("copies") >= F.col("max_repeats"), 0.0).otherwise(F.col("rest") / F.col("tokens")))
+        .withColumn("fraction", F.when(F.col("copies") >= F.col("max_repeats"), 0.0).otherwise(F.try_divide(F.col("rest"), F.col("tokens"))))
         .select("source", "target_share", "max_repeats", "n_docs", "tokens", "budget", "copies", F.coalesce("fraction", F.lit(0.0)).alias("fraction"), "rest")
     )
 
@@ -119,4 +119,4 @@ def mix_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target: what it asked for and what it got: records, tokens, share of all tokens, most copies of a record."""
     got = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("n_tokens") * F.col("copies")).alias("n_tokens"), F.max("copies").alias("most_copies"))
     rows = targets.select("source", "target_share", "max_repeats").join(F.broadcast(got), "source", "left").fillna(0, ["n_docs", "n_tokens", "most_copies"])
-    return rows.withColumn("actual_share", F.round(F.col("n_tokens") / F.sum("n_tokens").over(Window.partitionBy()), 6))
+    return rows.withColumn("actual_share", F.round(F.try_divide(F.col("n_tokens"), F.sum("n_tokens").over(Window.partitionBy())), 6))

@@ -45,19 +45,19 @@ PARTICLES = ["van", "von", "de", "der", "den", "di", "da", "del", "della", "du",
 _UP = r"[A-ZÀ-ÖØ-ÞĀĂĄĆĈĊČĎĐĒĔĖĘĚĜĞĠĢĤĦĨĪĬĮİĴĶĹĻĽĿŁŃŅŇŊŌŎŐŒŔŖŘŚŜŞŠŢŤŦŨŪŬŮŰŲŴŶŸŹŻŽ]"
 _WORD = rf"{_UP}[^\W\d_]+(?:['’]{_UP}?[^\W\d_]+)?"
 _NAME = rf"{_WORD}(?:-{_WORD})*"
-_LEFT = re.compile(rf"(?<![\w@.+-])((?:{_NAME}(?:[  ]{_UP}\.){{0,2}}|(?:{_UP}\.[  -]?){{1,3}}))[  ](?:(?:{'|'.join(PARTICLES)})[  ]){{0,2}}$")
-_INITIALS = re.compile(rf"^(?:{_UP}\.[  -]?)+$")
-_RIGHT = re.compile(rf",[  ]({_NAME}(?:[  ]{_UP}\.){{0,2}}|(?:{_UP}\.[  ]?){{1,3}})(?![\w@])")
-_PARTICLES_LEFT = re.compile(rf"(?<!\w)(?:(?:{'|'.join(PARTICLES)})[  ]){{1,2}}$")
+_LEFT = re.compile(rf"(?<![\w@.+-])((?:{_NAME}(?:[ \xa0]{_UP}\.){{0,2}}|(?:{_UP}\.[ \xa0-]?){{1,3}}))[ \xa0](?:(?:{'|'.join(PARTICLES)})[ \xa0]){{0,2}}$")
+_INITIALS = re.compile(rf"^(?:{_UP}\.[ \xa0-]?)+$")
+_RIGHT = re.compile(rf",[ \xa0]({_NAME}(?:[ \xa0]{_UP}\.){{0,2}}|(?:{_UP}\.[ \xa0]?){{1,3}})(?![\w@])")
+_PARTICLES_LEFT = re.compile(rf"(?<!\w)(?:(?:{'|'.join(PARTICLES)})[ \xa0]){{1,2}}$")
 _TOKEN = re.compile(rf"{_NAME}")
 
 _LOCAL = re.compile(r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~.À-ɏ-]+$")
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?)"
 _DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.I)
 
-_NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d (). /-]{5,}\d(?![\d])")
+_NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d ().\xa0/-]{5,}\d(?![\d])")
 _EXTENSION = re.compile(r"[ ]?(?:ext\.?|x|app\.?|Durchwahl|poste)[ ]?\d{1,5}\b", re.I)
-_SEP = r"[ . /-]?"
+_SEP = r"[ .\xa0/-]?"
 # Formats of telephone numbers: North America; Britain; France; Germany; any number with a country code.
 _PHONES = [
     re.compile(rf"(?:(?:\+|00)1{_SEP}|1-)?(?:\([2-9]\d\d\)[ ]?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]?\d{{4}}(?!\d)"),
@@ -251,7 +251,7 @@ class Finder:
         left = _LEFT.search(text, low, at)
         if left:
             given = left.group(1)
-            first = given.split(" ")[0].split(" ")[0]
+            first = given.split(" ")[0].split("\xa0")[0]
             if _INITIALS.match(given):
                 self._add(found, left.start(1), match.end(), "name")
                 return

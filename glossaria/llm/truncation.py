@@ -92,13 +92,14 @@ def trigrams(units: DataFrame) -> DataFrame:
 def verdicts(grams: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row ``(a, b, w, dotted, broken, open_end)`` for each trigram that ends some text, without or with a full stop.
 
-    The occurrence at hand is left out of the counts it is judged by.
+    The occurrence at hand is left out of the counts it is judged by. A run of more than 64 letters is no word
+    that another could be the beginning of: its beginnings, whose size grows with its square, are not spread.
     """
     grams.createOrReplaceTempView("_truncation_grams")
     longer = r"""
         longer{k} AS (SELECT {keys} substr(w, 1, k) AS w, sum({n}) AS n
                       FROM {source} LATERAL VIEW explode(sequence(1, length(w) - 1)) AS k
-                      WHERE length(w) > 1 AND w RLIKE r'^\p{{L}}' GROUP BY {keys} substr(w, 1, k))"""
+                      WHERE length(w) BETWEEN 2 AND 64 AND w RLIKE r'^\p{{L}}' GROUP BY {keys} substr(w, 1, k))"""
     every = "n_in + n_mark + n_dot + n_end + n_stop"
     sums = "sum(n_in) AS n_in, sum(n_mark) AS n_mark, sum(n_dot) AS n_dot, sum(n_end) AS n_end, sum(n_stop) AS n_stop"
     ended = "{t}.n_mark + {t}.n_end + {t}.n_stop + IF(g.dotted, {t}.n_dot, 0) - 1"
