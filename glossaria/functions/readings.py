@@ -66,7 +66,8 @@ def merge_readings(readings: Column) -> Column:
     def covered(r: Column) -> Column:
         return F.exists(distinct, lambda o: (o != r) & (F.size(F.array_except(F.split(r, " "), F.split(o, " "))) == 0))
 
-    return F.array_join(F.array_sort(F.filter(distinct, lambda r: ~covered(r))), "|")
+    several = F.array_join(F.array_sort(F.filter(distinct, lambda r: ~covered(r))), "|")
+    return F.when(F.size(distinct) > 1, several).otherwise(F.array_join(distinct, "|"))
 
 
 def compatible(ours: Column, gold: Column) -> Column:
