@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaria.functions import normalize as N
+from glossaria.operators import inflection as I
 from glossaria.operators import paradigms as P
 from glossaria.tables import table
 
@@ -22,6 +23,19 @@ def paradigm_attested(spark: SparkSession, sf: str) -> DataFrame:
     return made.join(seen, "form", "left").groupBy("class").agg(F.count(F.lit(1)).alias("forms"), F.count("seen").alias("attested"))
 
 
+def paradigm_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Every form the articles imply, by the whole generator; paradigm_expand is the part of it that its SQL has."""
+    return I.inflect(table(spark, sf, "entry", "idx", "headword", "body"))
+
+
+def paradigm_forms_attested(spark: SparkSession, sf: str) -> DataFrame:
+    """Per paradigm (headword for the headwords themselves): forms of all articles, and how many of them the lemma map has."""
+    kind = F.coalesce(F.regexp_replace("kind", r"^(noun \S+|pres \S+|\S+).*$", "$1"), F.lit("headword"))
+    made = I.readings(table(spark, sf, "entry", "idx", "headword", "body")).select("idx", kind.alias("kind"), "form").distinct()
+    seen = table(spark, sf, "lemma_map", "form").distinct().select(N.fold(F.col("form")).alias("form")).distinct().withColumn("seen", F.lit(1))
+    return made.join(seen, "form", "left").groupBy("kind").agg(F.count(F.lit(1)).alias("forms"), F.count("seen").alias("attested"))
+
+
 _RULES = ", ".join(f"('{k}', '{e}', '{r}')" for k, e, r in P.noun_rules() + P.verb_rules())
 _HEAD = N.sql_letters("headword")
 _KIND = " ".join(f"WHEN regexp_matches(substr(body, 1, 120), '{p}') AND h LIKE '%{e}' THEN {{{i}}}" for i, (_, p, e) in enumerate(P.CLASSES))
@@ -31,7 +45,7 @@ _STEMS = f"""
 _FORMS = f"""
     SELECT DISTINCT idx, class, translate(stem || ending, 'jv', 'iu') AS form, reading FROM ({_STEMS}) s JOIN (VALUES {_RULES}) r(kind, ending, reading) ON s.class = r.kind
     WHERE length(stem) > 0 AND length(stem || ending) BETWEEN 2 AND 24"""
-QUERIES = {"paradigm_expand": paradigm_expand, "paradigm_attested": paradigm_attested}
+QUERIES = {"paradigm_expand": paradigm_expand, "paradigm_attested": paradigm_attested, "paradigm_forms": paradigm_forms, "paradigm_forms_attested": paradigm_forms_attested}
 ORACLE = {
     "paradigm_expand": f"SELECT idx, form, string_agg(reading, '|' ORDER BY reading) AS cell FROM ({_FORMS}) f GROUP BY idx, form",
     "paradigm_attested": f"""
