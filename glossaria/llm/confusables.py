@@ -45,7 +45,8 @@ _space = re.compile(r"[\s" + "".join(map(chr, BLANK)) + "]+")
 _LETTER = "[A-Za-z0-9æœÆŒāăēĕīĭōŏūŭȳĀĂĒĔĪĬŌŎŪŬȲ]"
 _DOUBLE = "[āēīōūȳĀĒĪŌŪȲ]\\u0306|[ăĕĭŏŭĂĔĬŎŬ]\\u0304|[yY]\\u0306"
 _UNIT = f"(?:{_DOUBLE}|{_LETTER}|[-.,;:'!?()])++"
-CONSISTENT = f"^(?:{_UNIT}(?: {_UNIT})*+)?$"
+#: Ends with \z: in Java $ also stands before a final line break.
+CONSISTENT = f"^(?:{_UNIT}(?: {_UNIT})*+)?\\z"
 #: Longer values go to Python: the pattern is for words and phrases.
 LONGEST_SETTLED = 200
 
@@ -95,5 +96,5 @@ def consistent(column: Column, fold_case: bool = False, keep_greek: bool = True)
     is case-folded as well. Null stays null, the empty string stays empty, and a value of white space
     or invisible characters only becomes empty. Applying it twice changes nothing.
     """
-    settled = (F.length(column) <= LONGEST_SETTLED) & column.rlike("^[a-z]*$" if fold_case else CONSISTENT)
+    settled = (F.length(column) <= LONGEST_SETTLED) & column.rlike(r"^[a-z]*\z" if fold_case else CONSISTENT)
     return F.when(column.isNull() | settled, column).otherwise(_vectorised(fold_case, keep_greek)(F.when(~settled, column)))

@@ -72,6 +72,15 @@ def test_column_equals_function(spark):
     assert df.select(consistent(F.lit("ROSA"), fold_case=True)).first()[0] == "rosa"
 
 
+def test_column_equals_function_at_line_breaks(spark):
+    values = [f"{word}{end}" for word in ("", "rosa", "rosa alba", "rosa\n") for end in ("\n", "\r\n", "\r", "\u0085", "\u2028", "\u2029")]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    for fold_case in (False, True):
+        got = {r["id"]: r["c"] for r in df.select("id", consistent(F.col("v"), fold_case).alias("c")).collect()}
+        assert got == {i: consistent_form(v, fold_case) for i, v in enumerate(values)}
+    assert consistent_form("rosa\r\n") == "rosa" and consistent_form("\n") == ""
+
+
 def test_every_look_alike_maps_to_latin():
     for latin, others in LOOK_ALIKE.items():
         assert {consistent_form(f"x{c}x") for c in others} == {f"x{latin}x"}
