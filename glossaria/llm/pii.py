@@ -13,6 +13,7 @@ the listed ones; given names by standing where a given name stands before (or af
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -56,6 +57,11 @@ _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?)"
 _DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.I)
 
 _NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d ().\xa0/-]{5,}\d(?![\d])")
+# Within a run: where a group begins; what parts two numbers; a number or date that stands before one; what comes after one.
+_GROUP = re.compile(r"\((?=\d)|(?<![\d(])\d")
+_APART = re.compile(r"(?:[ \xa0][/-]|/)[ \xa0]*\Z|[ \xa0]{2}\Z")
+_STRAY = re.compile(r"[ \xa0]?\(?(?:\d{1,3}|\d{1,4}(?:[/.-]\d{1,4}){1,2})\)?[ \xa0]")
+_NEXT = re.compile(r"[ .\xa0]*(?:[/(]|-[ \xa0]|[ \xa0]{2})|[ \xa0]-")
 _EXTENSION = re.compile(r"[ ]?(?:ext\.?|x|app\.?|Durchwahl|poste)[ ]?\d{1,5}\b", re.I)
 _SEP = r"[ .\xa0/-]?"
 # Formats of telephone numbers: North America; Britain; France; Germany; any number with a country code.
@@ -184,8 +190,9 @@ class Finder:
 
     @staticmethod
     def _add(found: list[Item], start: int, end: int, kind: str) -> None:
-        if end > start and not any(start < e and s < end for s, e, _ in found):
-            found.append((start, end, kind))
+        i = bisect_left(found, (start,))  # found stays in order
+        if end > start and (i == len(found) or found[i][0] >= end) and (i == 0 or found[i - 1][1] <= start):
+            found.insert(i, (start, end, kind))
 
     def _mail(self, text: str, start: int, end: int, found: list[Item]) -> None:
         before, after = text[max(0, start - 80) : start], text[end : end + 160]
@@ -219,15 +226,38 @@ class Finder:
                 self._add(found, at, value.end(), "id_number")
 
     def _phone(self, text: str, run: re.Match, found: list[Item]) -> None:
-        at = run.start()
+        """All numbers of a run of digits: tried wherever a group of digits or a bracket begins, and again after each one found."""
+        at, stop, joined, low = run.start(), run.end(), True, run.start()
+        while at < stop:
+            end = self._phone_at(text, at, stop)
+            if end and (joined or self._stands_alone(text, low, at, end)):
+                self._add(found, at, end, "phone")
+                joined, low = True, end
+            else:
+                joined, end = False, None
+            begin = _GROUP.search(text, end or at + 1, stop)
+            at = begin.start() if begin else stop
+
+    @staticmethod
+    def _stands_alone(text: str, low: int, at: int, end: int) -> bool:
+        """The digits before are no part of the number: a bracket, slash or dash parts them, or they are one short number or a date."""
+        if text[at] == "(" or _APART.search(text, max(low, at - 6), at):
+            return True
+        if not _STRAY.fullmatch(text, max(low, at - 16), at):
+            return False
+        return text[at] == "0" or not re.search(r"[ \xa0]", text[at:end])
+
+    @staticmethod
+    def _phone_at(text: str, at: int, stop: int) -> int | None:
+        """The end of the number that begins here and leaves nothing of the run that could belong to it."""
         for pattern in _PHONES:
             match = pattern.match(text, at)
-            if match and match.end() >= run.end() - 6:
+            if match and (match.end() >= stop - 6 or _NEXT.match(text, match.end(), stop) or any(p.match(text, match.end() + 1) for p in _PHONES)):
                 tail = _EXTENSION.match(text, match.end())
                 if text[match.end() : match.end() + 1].isalnum() and not tail:
                     continue
-                self._add(found, at, tail.end() if tail else match.end(), "phone")
-                return
+                return tail.end() if tail else match.end()
+        return None
 
     def _address(self, text: str, at: int, pattern: re.Pattern, found: list[Item]) -> None:
         low = max(0, at - 70)

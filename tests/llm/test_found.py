@@ -344,3 +344,25 @@ def test_frames(spark):
     assert find_pii(df, "doc_id", "text", names.where("false")).count() == 0
     with pytest.raises(ValueError, match="more than"):
         find_pii(df, "doc_id", "text", names, most_names=3)
+
+
+@pytest.mark.parametrize(
+    "text, phones",
+    [
+        ("call (415) 555-0132 / (415) 555-0133", ["(415) 555-0132", "(415) 555-0133"]),
+        ("01632 960 482 - 01632 960 483.", ["01632 960 482", "01632 960 483"]),
+        ("flat 12 (020) 7946 0018", ["(020) 7946 0018"]),
+        ("room 12 020 7946 0018", ["020 7946 0018"]),
+        ("415-555-0132 415-555-0133 415-555-0134", ["415-555-0132", "415-555-0133", "415-555-0134"]),
+        ("2024-01-15 415-555-0132", ["415-555-0132"]),
+        ("01 99 00 73 16 01 99 00 73 17", ["01 99 00 73 16", "01 99 00 73 17"]),
+        ("123 456 789 0123 4567; 4111 0123 4567 8901; 978-0-415-55501-3", []),
+    ],
+)
+def test_every_number_of_a_digit_run(text, phones):
+    assert [text[a:b] for a, b, kind in Finder(NameBook.of(NAMES)).find(text) if kind == "phone"] == phones
+
+
+def test_long_digit_runs_are_linear():
+    finder = Finder(NameBook.of(NAMES))
+    assert finder.find("1 " * 100_000) == [] and len(finder.find("01 " * 50_000)) == 10_000
