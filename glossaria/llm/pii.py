@@ -1,8 +1,8 @@
 """Personal information in free text: found by anchors, widened and checked by local parsers.
 
 One Aho-Corasick automaton finds every literal that can belong to an item: at-signs and their written
-forms, schemes, identifier cues, street words, and the stems of known family names. Digit runs have no
-literal of their own and are anchored by one pattern. Around each anchor a deterministic parser widens
+forms, the schemes mailto: and tel:, identifier cues, street words, and the stems of known family names.
+Digit runs and identity numbers without a cue have no literal of their own and are anchored by one pattern each. Around each anchor a deterministic parser widens
 to the item's bounds within a short window and checks its form. The automaton passes over a text once,
 windows are of fixed width, so the cost is linear in the text and very long texts need no special way.
 
@@ -26,6 +26,8 @@ Item = tuple[int, int, str]
 
 # How an at-sign is written.
 AT_SIGNS = ["@", "＠", "[at]", "(at)", "{at}", "<at>", "﹫"]
+# Schemes of links to a mailbox and a telephone.
+SCHEMES = {"mailto": ["mailto:"], "tel": ["tel:", "callto:", "sms:"]}
 # Labels that stand before an identity number.
 ID_CUES = [
     "ssn", "social security number", "social security no", "social no", "social number", "sozialversicherungsnummer", "number is", "card", "carte",
@@ -55,6 +57,9 @@ _TOKEN = re.compile(rf"{_NAME}")
 _LOCAL = re.compile(r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~.À-ɏ-]+$")
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?)"
 _DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.I)
+# In a link: an at-sign may be written %40, and a number of 7 to 15 digits needs no separators.
+_LINKED_MAIL = re.compile(r"[A-Za-z0-9!$'*+/=^_`{|}~.%-]{1,64}?(?:@|%40)(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])", re.I)
+_LINKED_PHONE = re.compile(r"\+?(?:[(.-]{0,2}\d[).-]{0,2}){6,14}\d(?!\w)(?:;ext=\d{1,5}\b)?", re.I)
 
 _NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d ().\xa0/-]{5,}\d(?![\d])")
 # Within a run: where a group begins; what parts two numbers; a number or date that stands before one; what comes after one.
@@ -142,6 +147,7 @@ class Finder:
         words: dict[str, set[str]] = {}
         for kind, literals in (
             ("mail", AT_SIGNS),
+            *SCHEMES.items(),
             ("id", ID_CUES),
             ("after", [f" {w}" for w in STREET_AFTER]),
             ("joined", STREET_JOINED),
@@ -164,6 +170,7 @@ class Finder:
         names: list[int] = []
         mails: list[tuple[int, int]] = []
         cues: list[int] = []
+        links: dict[str, list[int]] = {"mailto": [], "tel": []}
         streets: dict[str, list[int]] = {"after": [], "joined": [], "before": [], "french": []}
         for end, (length, kinds) in self.automaton.iter(_lower(text)):
             start = end - length + 1
@@ -174,10 +181,17 @@ class Finder:
                     cues.append(end + 1)
                 elif kind == "name":
                     names.append(start)
+                elif kind in links:
+                    if not (start and text[start - 1].isalnum()):
+                        links[kind].append(end + 1)
                 else:
                     streets[kind].append(start)
         for start, end in mails:
             self._mail(text, start, end, found)
+        for kind, pattern, item in (("mailto", _LINKED_MAIL, "email"), ("tel", _LINKED_PHONE, "phone")):
+            for at in links[kind]:
+                if match := pattern.match(text, at, at + 200):
+                    self._add(found, at, match.end(), item)
         self._ids(text, cues, found)
         for match in _NUMBER.finditer(text):
             self._phone(text, match, found)

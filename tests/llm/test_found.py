@@ -366,3 +366,16 @@ def test_every_number_of_a_digit_run(text, phones):
 def test_long_digit_runs_are_linear():
     finder = Finder(NameBook.of(NAMES))
     assert finder.find("1 " * 100_000) == [] and len(finder.find("01 " * 50_000)) == 10_000
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("write mailto:jane%40mail.example.", [("email", "jane%40mail.example")]),
+        ("<mailto:j.doe@mail.example?subject=x>", [("email", "j.doe@mail.example")]),
+        ("TEL:4155550132 or tel:+14155550132;ext=12", [("phone", "4155550132"), ("phone", "+14155550132;ext=12")]),
+        ("hotel:4155550132, tel:2024", []),
+    ],
+)
+def test_links(text, want):
+    assert [(k, text[a:b]) for a, b, k in Finder(NameBook.of(NAMES)).find(text)] == want
