@@ -59,3 +59,14 @@ def metric_change(kind: Column, old: Column, new: Column, old_share: Column, new
         .when(kind == "coverage", F.when(new < old, "worse").when(new > old, "better").otherwise("same"))
         .otherwise(F.when(up & share_up, "worse").when(new < old, "better").when(up, "scale").otherwise("same"))
     )
+
+
+def shorten_accepted(old: Column, new: Column) -> Column:
+    """A shortened gloss is taken if it says something in no more words than before."""
+    return F.coalesce((F.trim(new) != "") & (F.size(F.split(F.trim(new), r"\s+")) <= F.size(F.split(F.trim(old), r"\s+"))), F.lit(False))
+
+
+def carried(source: Column, earlier_gloss: Column, earlier_source: Column, own: str = "ls") -> Column:
+    """An earlier repair is kept where it has a gloss and the row's own gloss is not the dictionary's."""
+    repaired = F.regexp_replace(earlier_source, "[~?!]+$", "").isin("xrefix", "refilled", "freqfix")
+    return F.coalesce(repaired & (F.trim(earlier_gloss) != ""), F.lit(False)) & F.coalesce(F.regexp_replace(source, "~+$", "") != own, F.lit(True))

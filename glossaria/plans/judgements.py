@@ -10,8 +10,12 @@ from glossaria.functions import quality as Q
 from glossaria.functions import text as T
 from glossaria.functions.readings import cell_state, merge_readings, tag_reading
 from glossaria.operators import checkpoint, diffing, judging, sampling
+from glossaria.operators.pointers import function_words as find_function_words
+from glossaria.operators.pointers import inherit_rejection, last_targets
 from glossaria.plans.corpus import _TREEBANK, _WORDS, _sql_reading, doc_frequency_vocab, treebank
+from glossaria.plans.lexicon import pointer_edges
 from glossaria.tables import table
+from glossaria.workspace import materialise
 
 
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,7 +149,23 @@ def ship_filter(spark: SparkSession, sf: str) -> DataFrame:
         .when(N.letters(F.col("gloss")) == N.letters(F.col("headword")), "echo")
         .otherwise("shipped")
     )
-    return rows.groupBy("source", reason.alias("reason")).agg(F.sum("n").alias("lines"), F.sum("freq").alias("freq"))
+    judged = materialise(rows.select("key", "source", "n", "freq", reason.alias("reason")), "judged")
+    # a pointer that took over a gloss the detectors reject is rejected with it
+    entries = table(spark, sf, "entry", "idx", "key", "body")
+    node = entries.select(F.col("idx").alias("node"), "key")
+    targets = last_targets(materialise(pointer_edges(spark, sf), "edges"), entries.where("length(body) < 200").select(F.col("idx").alias("node")))
+    rejected = node.join(judged.where("reason = 'detector'").select("key"), "key", "left_semi")
+    inherits = inherit_rejection(rejected, targets).join(node, "node").select("key").distinct().withColumn("inherits", F.lit(True))
+    taken = F.col("inherits") & (F.col("reason") == "shipped") & F.col("source").startswith("xref")
+    judged = judged.join(inherits, "key", "left").withColumn("reason", F.when(taken, "inherits a rejected gloss").otherwise(F.col("reason")))
+    return judged.groupBy("source", "reason").agg(F.sum("n").alias("lines"), F.sum("freq").alias("freq"))
+
+
+def function_words(spark: SparkSession, sf: str) -> DataFrame:
+    """``(idx)`` of function words, marked so or a bare pointer to one."""
+    entries = table(spark, sf, "entry", "idx", "headword", "body")
+    targets = last_targets(materialise(pointer_edges(spark, sf), "edges"), entries.where("length(body) < 200").select(F.col("idx").alias("node")))
+    return find_function_words(entries, targets)
 
 
 def clean_glosses(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,6 +277,7 @@ QUERIES = {
     "issue_classes": issue_classes,
     "defect_reasons": defect_reasons,
     "ship_filter": ship_filter,
+    "function_words": function_words,
     "clean_glosses": clean_glosses,
     "synonym_packing": synonym_packing,
     "ngram_collapse": ngram_collapse,

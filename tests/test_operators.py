@@ -152,3 +152,26 @@ def test_paradigms(spark):
     assert (3, "hortatur") in cells and (3, "hortat") not in cells
     assert {i for i, _ in cells} == {1, 2, 3}
     assert len(paradigms.verb_rules()) > 300
+
+
+def test_pointers_pass_rejection_and_function_words_on(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (5, 6), (6, 5), (7, 1)], "src bigint, dst bigint")
+    short = spark.createDataFrame([(n,) for n in (1, 2, 5, 6, 7)], "node bigint")
+    targets = pointers.last_targets(edges, short)
+    assert {tuple(r) for r in targets.collect()} == {(1, 3), (2, 3), (5, 6), (6, 5), (7, 3)}
+    rejected = spark.createDataFrame([(3,), (5,)], "node bigint")
+    assert {r[0] for r in pointers.inherit_rejection(rejected, targets).collect()} == {1, 2, 6, 7}
+    one = spark.createDataFrame([(1, 2), (2, 3)], "src bigint, dst bigint")
+    assert {r[0] for r in pointers.inherit_rejection(rejected, one).collect()} == {2}  # one hop
+    words = spark.createDataFrame(
+        [(1, "uti", "uti, v. ut init."), (2, "sum-", "sum-, v. sub"), (3, "ut", "ut, conj. that " + "x" * 90), (4, "porta", "porta, ae, f. a gate"), (5, "sum", "sum = eum, v. is"), (6, None, None)],
+        "idx bigint, headword string, body string",
+    )
+    to = spark.createDataFrame([(1, 3), (2, 3), (5, 3), (4, 1)], "src bigint, dst bigint")
+    assert {r[0] for r in pointers.function_words(words, to).collect()} == {1, 3}
+
+
+def test_shorten_and_carry(one):
+    assert one(judging.shorten_accepted(F.col("a"), F.col("b")), a="to go away", b="go off") and not one(judging.shorten_accepted(F.col("a"), F.col("b")), a="go", b="to go")
+    assert not one(judging.shorten_accepted(F.col("a"), F.col("b")), a="go", b=" ")
+    assert one(judging.carried(F.col("s"), F.col("g"), F.col("q")), s="model", g="gate", q="xrefix~") and not one(judging.carried(F.col("s"), F.col("g"), F.col("q")), s="model", g="gate", q="model")
