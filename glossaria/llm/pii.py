@@ -7,7 +7,8 @@ to the item's bounds within a short window and checks its form. The automaton pa
 windows are of fixed width, so the cost is linear in the text and very long texts need no special way.
 
 Names: a list of names is never complete. Family names are recognised by stem and ending if both recur in
-the listed ones; given names by standing where a given name stands before (or after) a family name.
+the listed ones; given names by standing where a given name stands before (or after) a family name. A
+family name of any other form is found after a listed given name, if a title, a mailbox or a telephone is next to them.
 """
 
 from __future__ import annotations
@@ -53,6 +54,11 @@ _INITIALS = re.compile(rf"^(?:{_UP}\.[ \xa0-]?)+$")
 _RIGHT = re.compile(rf",[ \xa0]({_NAME}(?:[ \xa0]{_UP}\.){{0,2}}|(?:{_UP}\.[ \xa0]?){{1,3}})(?![\w@])")
 _PARTICLES_LEFT = re.compile(rf"(?<!\w)(?:(?:{'|'.join(PARTICLES)})[ \xa0]){{1,2}}$")
 _TOKEN = re.compile(rf"{_NAME}")
+# A listed given name and any family name, and the titles and labels before which the two are a person.
+_GIVEN_FIRST = re.compile(rf"({_NAME})(?:[ \xa0]{_UP}\.)?[ \xa0](?:(?:{'|'.join(PARTICLES)})[ \xa0]){{0,2}}({_NAME})")
+_WEAK_TITLES = {"Don", "From", "Present", "Editor", "Reader", "Tel"}
+_TITLE_LEFT = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(TITLES - _WEAK_TITLES))})[.:,]?[ \xa0]\Z")
+_NO_FAMILY = TITLES | set(STREET_AFTER) | set(STREET_BEFORE)
 
 _LOCAL = re.compile(r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~.À-ɏ-]+$")
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?)"
@@ -154,6 +160,7 @@ class Finder:
             ("before", [f"{w} " for w in STREET_BEFORE]),
             ("french", [f" {w} " for w in STREET_FRENCH]),
             ("name", book.anchors()),
+            ("given", book.given),
         ):
             for literal in literals:
                 words.setdefault(_lower(literal), set()).add(kind)
@@ -168,6 +175,7 @@ class Finder:
             return []
         found: list[Item] = []
         names: list[int] = []
+        given: list[int] = []
         mails: list[tuple[int, int]] = []
         cues: list[int] = []
         links: dict[str, list[int]] = {"mailto": [], "tel": []}
@@ -181,6 +189,8 @@ class Finder:
                     cues.append(end + 1)
                 elif kind == "name":
                     names.append(start)
+                elif kind == "given":
+                    given.append(start)
                 elif kind in links:
                     if not (start and text[start - 1].isalnum()):
                         links[kind].append(end + 1)
@@ -200,6 +210,8 @@ class Finder:
                 self._address(text, at, pattern, found)
         for at in names:
             self._name(text, at, found)
+        for at in given:
+            self._given(text, at, found)
         return sorted(found)
 
     @staticmethod
@@ -316,6 +328,21 @@ class Finder:
                     start = particle.start()
                 self._add(found, start, right.end(), "name")
 
+    def _given(self, text: str, at: int, found: list[Item]) -> None:
+        """A listed given name with a family name of any form, if a title or label stands before or a mailbox or telephone comes next."""
+        if at and (text[at - 1].isalnum() or text[at - 1] in "_@.-'’"):
+            return
+        match = _GIVEN_FIRST.match(text, at, at + 90)
+        if not match or match.group(1) not in self.book.given or match.group(2) in _NO_FAMILY:
+            return
+        end = match.end()
+        if text[end : end + 1].isalnum() or text[end : end + 1] in ("_", "@"):
+            return
+        i = bisect_left(found, (end,))
+        reached = i < len(found) and found[i][2] in ("email", "phone") and found[i][0] - end <= 3 and not text[end : found[i][0]].strip(" \xa0,(<:;")
+        if reached or _TITLE_LEFT.search(text, max(0, at - 16), at):
+            self._add(found, at, end, "name")
+
 
 #: What stands in place of an item.
 PLACEHOLDERS = {"name": "[NAME]", "email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]"}

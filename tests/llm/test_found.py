@@ -379,3 +379,17 @@ def test_long_digit_runs_are_linear():
 )
 def test_links(text, want):
     assert [(k, text[a:b]) for a, b, k in Finder(NameBook.of(NAMES)).find(text)] == want
+
+
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("Dr. Anna Kowalski came", ["Anna Kowalski"]),
+        ("Contact: Anna M. van Kowalski, please", ["Anna M. van Kowalski"]),
+        ("Anna Kowalski <x@mail.example>", ["Anna Kowalski"]),
+        ("Anna Kowalski, (212) 555-0191", ["Anna Kowalski"]),
+        ("Anna Latin vowels, From Anna Latin, Mr Anna Road", []),
+    ],
+)
+def test_family_names_of_any_form(text, names):
+    assert [text[a:b] for a, b, k in Finder(NameBook.of([*NAMES, ("Anna", "given")])).find(text) if k == "name"] == names
