@@ -7,7 +7,8 @@ split by what the counts say:
    shuffle carries one row per key and period, not one per reference. From this come the heavy
    keys: those with at least ``1 / heavy_parts`` of all references. By counting there can be at
    most ``heavy_parts`` of them, whatever the data.
-2. Rows of heavy keys never move. Their life spans are broadcast, after a check of their number.
+2. Rows of heavy keys never move while their life spans are few (their number is checked): the spans are
+   broadcast. Beyond that number the rows are salted and the spans repeated, so no key is gathered either way.
 3. All other rows meet the target's life spans in a shuffled anti-join on the key.
 4. Orphans of both ways are united, and only they are looked up once more for the reason.
 
@@ -22,6 +23,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossaria.operators.skew import salt
+from glossaria.workspace import materialise
+
 FOREVER = "9999-12-31 00:00:00"
 
 
@@ -97,7 +101,15 @@ def _anti(rows: DataFrame, spans: DataFrame) -> DataFrame:
     return rows.join(spans, live, "left_anti")
 
 
-def find_orphans(rows: DataFrame, row_id: str, at: str, refs: list[Reference], heavy_parts: int = 256, least_rows: int = 10_000) -> DataFrame:
+def _salted_anti(rows: DataFrame, spans: DataFrame, parts: int = 64) -> DataFrame:
+    """As :func:`_anti` for heavy keys with many spans: the rows of a key go to ``parts`` tasks, its spans to each of them."""
+    rows = rows.withColumn("_salt", salt(parts))
+    copies = spans.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).hint("merge")
+    live = (rows["_ref"] == copies["_ref"]) & (rows["_salt"] == copies["_salt"]) & (copies["_from"] <= rows["_at"]) & (rows["_at"] < copies["_to"])
+    return rows.join(copies, live, "left_anti").drop("_salt")
+
+
+def find_orphans(rows: DataFrame, row_id: str, at: str, refs: list[Reference], heavy_parts: int = 256, least_rows: int = 10_000, most_broadcast: int = 16_384) -> DataFrame:
     """One row ``(row_id, ref_field, _ref, _at, reason)`` for each non-null reference without a live target at ``at``.
 
     reason: 'missing' if no target row has the value, 'late' if every target row was added after ``at``,
@@ -112,16 +124,16 @@ def find_orphans(rows: DataFrame, row_id: str, at: str, refs: list[Reference], h
         wanted = rows.where(F.col(ref.field).isNotNull()).select(
             F.col(row_id).alias("row_id"), F.col(ref.field).cast("string").alias("_ref"), F.col(at).cast("timestamp_ntz").alias("_at")
         )
-        spans = life_spans(ref.target, ref.target_key, ref.added, ref.removed)
+        # read by two joins and a count: written once
+        spans = materialise(life_spans(ref.target, ref.target_key, ref.added, ref.removed), "spans")
         heavy = heavy_keys(reference_counts(rows, ref.field, at), heavy_parts, least_rows)
         if heavy:
             keys = spark.createDataFrame([(k,) for k in heavy], "_ref string")
             hot_spans = spans.join(F.broadcast(keys), "_ref", "left_semi")
-            n_spans = hot_spans.limit(heavy_parts * 64 + 1).count()
+            n_spans = hot_spans.limit(most_broadcast + 1).count()
             is_hot = F.col("_ref").isin(heavy)
             hot = wanted.where(is_hot)
-            # the spans of a few keys: broadcast only while their number is within the bound
-            hot = _anti(hot, F.broadcast(hot_spans) if n_spans <= heavy_parts * 64 else hot_spans)
+            hot = _anti(hot, F.broadcast(hot_spans)) if n_spans <= most_broadcast else _salted_anti(hot, hot_spans)
             orphans = _anti(wanted.where(~is_hot), spans).unionByName(hot)
         else:
             orphans = _anti(wanted, spans)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,18 +13,33 @@ def heavy_values(rows: DataFrame, key: str, parts: int = 256, least_rows: int =
     return [r[0] for r in counts.where(F.col("_n") >= max(total / parts, least_rows)).select(key).limit(parts).collect()]
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, parts: int = 256, least_rows: int = 10_000, largest_row_mb: float = 1.0) -> DataFrame:
+def salt(parts: int) -> Column:
+    """A number below ``parts`` that spreads the rows of one key, repeated rows included, over many tasks.
+
+    It depends on where a row is read, not on a random number, so a task that runs again gives the same.
+    """
+    return F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int")
+
+
+def salted_join(rows: DataFrame, other: DataFrame, keys: list[str], how: str = "left", parts: int = 64) -> DataFrame:
+    """A join on equal ``keys`` in which the rows of one key spread over ``parts`` tasks; ``other`` is repeated as often.
+
+    For the few keys that are known to be heavy: what is repeated is then small, and nothing is broadcast.
+    """
+    copies = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return rows.withColumn("_salt", salt(parts)).join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, parts: int = 256, least_rows: int = 10_000) -> DataFrame:
     """``rows`` left-joined with ``lookup`` (unique in ``key``), without ever gathering a heavy key.
 
-    Rows of heavy keys meet a broadcast of the few lookup rows they need (at most ``parts``, and only if
-    these together stay below ``parts * largest_row_mb``); all others are joined by shuffle. Null keys match nothing.
+    Rows of heavy keys (at most ``parts`` keys, by counting) are salted and meet as many copies of the few lookup rows
+    they need; all others are joined by shuffle. Nothing is broadcast, so a lookup row may be of any length. Null keys match nothing.
     """
     heavy = heavy_values(rows, key, parts, least_rows)
     if not heavy:
         return rows.join(lookup, key, "left")
     is_heavy = F.col(key).isin(heavy)
     hot = lookup.where(is_heavy)
-    size = hot.agg(F.sum(sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in hot.columns), F.lit(0)))).first()[0] or 0
-    few = F.broadcast(hot) if size <= parts * largest_row_mb * 1e6 / 4 else hot
     rest = rows.where(F.col(key).isNull() | ~is_heavy)
-    return rows.where(is_heavy).join(few, key, "left").unionByName(rest.join(lookup, key, "left"))
+    return salted_join(rows.where(is_heavy), hot, [key]).unionByName(rest.join(lookup, key, "left"))

@@ -27,11 +27,11 @@ def form_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.groupBy(N.fold(F.col("token")).alias("form")).agg(F.sum("n").alias("n")).where("form != ''")
 
 
-def token_freq(spark: SparkSession, sf: str) -> DataFrame:
+def token_freq(spark: SparkSession, sf: str, least: int = 1) -> DataFrame:
+    """``(form, n, share)`` of the forms that occur at least ``least`` times; the share is of all tokens, whatever ``least`` is."""
     counts = form_counts(spark, sf)
     # the total as a scalar subquery: a window over everything would gather all forms in one task
-    counts.createOrReplaceTempView("_form_counts")
-    return spark.sql("SELECT form, n, round(n / (SELECT sum(n) FROM _form_counts), 9) AS share FROM _form_counts WHERE n >= 2")
+    return spark.sql("SELECT form, n, round(n / (SELECT sum(n) FROM {counts}), 9) AS share FROM {counts} WHERE n >= {least}", counts=counts, least=least)
 
 
 def fold_letters_plain(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,7 +197,7 @@ def _peeled(x: str) -> str:
 _POS = r"lower(regexp_replace(regexp_extract(substr(body, 1, 150), '(?i)(?:^|[^\p{L}\p{M}])(adv|adj|praep|prep|conj|pron|interj|v\.\s*(?:a|n|dep|freq|impers)|subst|num)(?:[^\p{L}\p{M}]|$)', 1), '\s+', '', 'g'))"
 
 QUERIES = {
-    "token_freq": token_freq,
+    "token_freq": lambda spark, sf: token_freq(spark, sf),
     "fold_letters_plain": fold_letters_plain,
     "tag_strip": tag_strip,
     "focus_articles": focus_articles,
@@ -217,7 +217,7 @@ QUERIES = {
     "length_by_pass": length_by_pass,
 }
 ORACLE = {
-    "token_freq": f"SELECT form, n, share FROM (SELECT form, n, round(n / sum(n) OVER (), 9) AS share FROM ({_COUNTS}) c) s WHERE n >= 2",
+    "token_freq": f"SELECT form, n, round(n / sum(n) OVER (), 9) AS share FROM ({_COUNTS}) c",
     "fold_letters_plain": f"SELECT DISTINCT headword, {N.sql_fold('headword')} AS fold, {N.sql_letters('headword')} AS letters, {N.sql_plain('headword')} AS plain FROM entry",
     "tag_strip": f"SELECT idx, {_SPACE.format(x=f'''regexp_replace({_HEAD}, '<[^>]+>', '', 'g')''')} AS body, headword AS orth FROM entry",
     "focus_articles": f"SELECT idx, {_SPACE.format(x=f'''split_part(body, ',', 1) || ': ' || {_peeled('body')}''')} AS focused, CASE {_POS} WHEN '' THEN NULL WHEN 'prep' THEN 'praep' ELSE {_POS} END AS pos FROM entry",

@@ -245,7 +245,7 @@ RULES = [("^prae", "pre", 1), ("ae", "e", 3), ("qu", "cu", 2), ("([aeiou])\\1",
 
 def normal_rules_apply(spark: SparkSession, sf: str) -> DataFrame:
     forms = table(spark, sf, "package_dictionary", "lemma").distinct()
-    return forms.select("lemma", T.apply_rules(F.col("lemma"), [r for r in RULES if "\\1" not in r[0]]).alias("spelling"))
+    return forms.select("lemma", T.apply_rules(F.col("lemma"), RULES).alias("spelling"))
 
 
 def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
@@ -346,7 +346,7 @@ ORACLE = {
                      count(*) FILTER (loaded_at < {_MIDDLE} AND gloss IS NULL) AS bad0, count(*) FILTER (loaded_at >= {_MIDDLE} AND gloss IS NULL) AS bad1 FROM lemma_map GROUP BY source) m""",
     "systematic_sample": "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS r FROM documents WHERE source IS NOT NULL) x WHERE r % 7 = 3",
     "hash_sample": "SELECT idx, key FROM entry ORDER BY md5(idx || '#1'), idx LIMIT 100",
-    "normal_rules_apply": "SELECT DISTINCT lemma, regexp_replace(regexp_replace(regexp_replace(lemma, 'ae', 'e', 'g'), 'qu', 'cu', 'g'), '^prae', 'pre', 'g') AS spelling FROM package_dictionary",
+    "normal_rules_apply": "SELECT DISTINCT lemma, replace(replace(replace(replace(replace(regexp_replace(replace(replace(lemma, 'ae', 'e'), 'qu', 'cu'), '^prae', 'pre'), 'aa', 'a'), 'ee', 'e'), 'ii', 'i'), 'oo', 'o'), 'uu', 'u') AS spelling FROM package_dictionary",
     "run_metadata": "SELECT k.p, prompt, n, articles, blank FROM (SELECT p, count(*) AS n, count(DISTINCT i) AS articles, count(*) FILTER (trim(g) = '') AS blank FROM freqfix_fw_headings2_ckpt GROUP BY p) k JOIN (SELECT pass_name AS p, substr(sha256(body), 1, 12) AS prompt FROM prompt_text) t ON k.p = t.p",
     "state_transition": f"""
         WITH gold AS (SELECT form, gold, count(*) AS n FROM (SELECT form, {_sql_reading('postag')} AS gold FROM ({_TREEBANK}) t) g WHERE gold <> '' GROUP BY ALL),

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import StructType
 
-from glossaria.workspace import new_path
+from glossaria.workspace import hadoop_path, new_path
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -36,40 +38,105 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours")
     return s.select("user_id", F.col("w.start").alias("start"), "n")
 
 
-def run_to_end(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], None], name: str) -> None:
-    """Process all that is there and stop; the checkpoint lies in the shared folder, so a restart goes on where it stood."""
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", new_path(stream.sparkSession, f"{name}-log")).trigger(availableNow=True).foreachBatch(each).start()
+def run_to_end(stream: DataFrame, mode: str, each: Callable[[DataFrame, int], None], log: str) -> None:
+    """Process all that is there and stop. ``log`` is the folder of the checkpoint: run again with the same one, a stream goes on where it stood."""
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", log).trigger(availableNow=True).foreachBatch(each).start()
     query.awaitTermination()
 
 
 def to_table(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a stream to its end; the last complete result as a table in the shared folder."""
+    """Run a stream to its end; its result as a table in the shared folder.
+
+    In mode complete it is the last result of all windows; in mode append each window once, when the watermark has
+    passed it: a batch that runs again after a failure replaces its own rows.
+    """
     spark, path = stream.sparkSession, new_path(stream.sparkSession, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={batch_id}")
+
+    run_to_end(stream, mode, write, new_path(spark, f"{name}-log"))
+    fs, folder = hadoop_path(spark, path)
+    if not fs.exists(folder):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(path).select(*stream.columns)
 
-    run_to_end(stream, mode, write, name)
-    return spark.read.schema(stream.schema).parquet(path)
 
+class LatestTable:
+    """The latest values per key of a stream, kept in a folder: a base and one small delta per batch since.
 
-def latest_table(events: DataFrame, keys: list[str], order: str, values: list[str], name: str) -> DataFrame:
-    """A table of the latest values per key, brought up to date by every micro-batch.
+    A batch writes only its own keys; every ``compact_every`` batches base and deltas become the next base, so the
+    work per batch follows the batch, not the table. All state lies in the folder: which parts are whole is seen from
+    their _SUCCESS files, so a new driver with the same folder goes on where the last one stood, and a batch
+    that runs again writes the same delta again. Parts that a newer base holds are dropped a compaction later, so
+    a reader that has listed them can finish.
+    """
 
-    Each batch writes a new version beside the last one and only then drops the older, so a reader, or a batch
-    that is run again after a failure, always finds a whole version.
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], order: str, values: list[str], schema: StructType, compact_every: int = 16) -> None:
+        self.spark, self.root, self.keys, self.order, self.values, self.every = spark, root.rstrip("/"), keys, order, values, compact_every
+        self.schema = spark.createDataFrame([], schema).select(*keys, order, *values).schema
+
+    def parts(self) -> tuple[int, list[int]]:
+        """The newest whole base (-1: none) and the whole deltas after it."""
+        fs, folder = hadoop_path(self.spark, self.root)
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        whole = [n for n in names if n.startswith(("base-", "delta-")) and fs.exists(hadoop_path(self.spark, f"{self.root}/{n}/_SUCCESS")[1])]
+        base = max((int(n[5:]) for n in whole if n.startswith("base-")), default=-1)
+        return base, sorted(int(n[6:]) for n in whole if n.startswith("delta-") and int(n[6:]) > base)
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        best = F.max_by(F.struct(*self.values), F.col(self.order))
+        return rows.groupBy(*self.keys).agg(best.alias("_v"), F.max(self.order).alias(self.order)).select(*self.keys, self.order, "_v.*")
+
+    def _merged(self, base: int, deltas: list[int]) -> DataFrame:
+        paths = [f"{self.root}/base-{base}"] * (base >= 0) + [f"{self.root}/delta-{d}" for d in deltas]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self._latest(self.spark.read.schema(self.schema).parquet(*paths))
+
+    def read(self) -> DataFrame:
+        return self._merged(*self.parts())
+
+    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+        self._latest(batch.select(*self.keys, self.order, *self.values)).write.mode("overwrite").parquet(f"{self.root}/delta-{batch_id}")
+        base, deltas = self.parts()
+        if len(deltas) >= self.every:
+            self._merged(base, deltas).write.mode("overwrite").parquet(f"{self.root}/base-{deltas[-1]}")
+            fs, folder = hadoop_path(self.spark, self.root)
+            for status in fs.listStatus(folder):
+                kind, _, number = status.getPath().getName().partition("-")
+                if kind in ("base", "delta") and int(number) < base or kind == "delta" and int(number) == base:
+                    fs.delete(status.getPath(), True)
+
+
+def latest_table(events: DataFrame, keys: list[str], order: str, values: list[str], name: str, root: str | None = None, compact_every: int = 16) -> DataFrame:
+    """Bring the table of the latest values per key up to date with all events that are there; see :class:`LatestTable`.
+
+    With a ``root`` of an earlier run it goes on from there; its checkpoint lies in the same folder.
     """
-    spark, root = events.sparkSession, new_path(events.sparkSession, name)
-    state: dict[str, str] = {}
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*keys, order, *values)
-        if "at" in state:
-            rows = rows.unionByName(batch.sparkSession.read.schema(rows.schema).parquet(state["at"]))
-        best = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(order)).alias("_v"), F.max(order).alias(order)).select(*keys, order, "_v.*")
-        path = f"{root}/version-{batch_id}"
-        best.write.mode("overwrite").parquet(path)
-        state["at"] = path
-
-    run_to_end(events, "append", upsert, name)
-    return spark.read.parquet(state["at"]) if "at" in state else spark.createDataFrame([], events.select(*keys, order, *values).schema)
+    root = root or new_path(events.sparkSession, name)
+    table = LatestTable(events.sparkSession, root, keys, order, values, events.schema, compact_every)
+    run_to_end(events, "append", table.upsert, f"{root}/log")
+    return table.read()
+
+
+class Progress(StreamingQueryListener):
+    """Reports batches, rows and rows per second of streams to ``say``, at most every ``every`` batches."""
+
+    def __init__(self, say: Callable[[str], None] = print, every: int = 10) -> None:
+        self.say, self.every, self.batches, self.rows = say, every, 0, 0
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        self.batches = self.rows = 0
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        self.batches += 1
+        self.rows += event.progress.numInputRows
+        if self.batches % self.every == 0:
+            self.say(f"{event.progress.name or event.progress.id}: {self.batches} batches, {self.rows} rows, {event.progress.processedRowsPerSecond:.0f} rows/s")
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        self.say(f"ended after {self.batches} batches, {self.rows} rows")

@@ -2,12 +2,12 @@
 
 A step that is read more than once, or whose lineage would grow without bound, is written as
 Parquet below ``spark.checkpoint.dir``. The files survive the loss of any executor, unlike cached
-blocks or local checkpoints. The folder of a session is removed when its driver ends.
+blocks or local checkpoints. The folder of a session is removed when its driver's JVM ends: the file system itself
+is told to do so, as Python has no JVM left to ask by then.
 """
 
 from __future__ import annotations
 
-import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +26,16 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _roots:
         _roots[app] = f"{root.rstrip('/')}/glossaria-{app}"
-        atexit.register(_remove, spark, _roots[app])
+        fs, folder = hadoop_path(spark, _roots[app])
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
     return _roots[app]
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        hadoop = jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-    except Exception:  # noqa: BLE001 - the JVM may already be gone
-        pass
+def hadoop_path(spark: SparkSession, path: str):  # noqa: ANN201
+    """The file system of a path and the path as that file system's object."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def new_path(spark: SparkSession, name: str) -> str:
