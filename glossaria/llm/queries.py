@@ -11,7 +11,7 @@ from glossaria.llm.packing import fill_report, pack
 from glossaria.llm.pairs import find_defects
 from glossaria.llm.pii import find_pii, redact
 from glossaria.llm.tokens import count_tokens
-from glossaria.llm.topn import top_n
+from glossaria.llm.topn import cluster_by_group, clusterable, row_groups_read, top_n
 from glossaria.llm.truncation import find_truncated, truncation_rates
 from glossaria.tables import table
 from glossaria.workspace import materialise
@@ -58,6 +58,12 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id").select("row_id")
 
 
+def p5_row_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """How many of the clustered row groups, and of their rows, p5_found reads."""
+    rows = clusterable(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id")
+    return row_groups_read(spark, cluster_by_group(rows), 3)
+
+
 def _sizes(spark: SparkSession, sf: str) -> DataFrame:
     """Sizes of all documents in tokens, counted once."""
     return materialise(count_tokens(table(spark, sf, "documents", "doc_id", "source", "text"), "text", ["doc_id", "source"]), "sizes")
@@ -90,7 +96,7 @@ def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return redact(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf, "name_list"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p5_found": p5_found,
+QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p5_found": p5_found, "p5_row_groups": p5_row_groups,
     "p6_packed": p6_packed,
     "p6_fill": p6_fill,
     "p7_mixed": p7_mixed,

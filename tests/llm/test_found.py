@@ -108,24 +108,30 @@ def test_top_n_equals_brute_force(spark, hot):
     rows = [("hot" if rng.random() < hot else f"g{rng.randrange(40)}", f"i{rng.randrange(60)}é", rng.randrange(6), k) for k in range(20_000)]
     rows += [(None, "a", 1, 90_001), ("g1", None, 1, 90_002), ("g1", "a", None, 90_003), ("", "x", 5, 90_004), ("solo", "x", -3, 90_005)]
     df = spark.createDataFrame(rows, "lemma string, form string, freq bigint, row_id bigint")
-    got = topn.top_n(df, "lemma", "form", "freq", "row_id", row_group_bytes=4096)
+    got = topn.top_n(df, "lemma", "form", "freq", "row_id", rows_per_group=100)
     ids = [r["row_id"] for r in got.collect()]
     assert len(ids) == len(set(ids)) and set(ids) == brute_top(rows)
 
 
 def test_top_n_skips_what_cannot_matter(spark):
     df = spark.range(60_000).selectExpr("'hot' as g", "concat('i', id) as item", "60000 - id as score", "id as row_id")
-    path = topn.cluster_by_group(df, row_group_bytes=16_384, partitions=4)
+    path = topn.cluster_by_group(df, rows_per_group=2_000, partitions=4)
     stats = topn.footers(spark, path)
     assert stats.count() > 8
-    read = []
-    real = topn._best_of_row_groups
-    topn._best_of_row_groups = lambda chosen, n: (read.append(chosen.count()), real(chosen, n))[1]
-    try:
-        assert sorted(r["row_id"] for r in topn.top_n_from_clustered(spark, path, 3).collect()) == [0, 1, 2]
-    finally:
-        topn._best_of_row_groups = real
-    assert sum(read) < stats.count()
+    n = topn.row_groups_read(spark, path, 3).first()
+    assert n["row_groups"] == stats.count() and n["read"] <= 5 and n["rows"] == 60_000
+    assert sorted(r["row_id"] for r in topn.top_n_from_clustered(spark, path, 3).collect()) == [0, 1, 2]
+
+
+def test_top_n_on_a_file_system_without_a_reader(spark, monkeypatch):
+    df = spark.range(500).selectExpr("cast(id % 7 as string) as g", "concat('i', id) as item", "id % 50 as score", "id as row_id")
+
+    def none(path):
+        raise ValueError(path)
+
+    want = sorted(r["row_id"] for r in topn.top_n(df, "g", "item", "score", "row_id").collect())
+    monkeypatch.setattr(topn, "_file_system", none)
+    assert sorted(r["row_id"] for r in topn.top_n(df, "g", "item", "score", "row_id").collect()) == want
 
 
 def test_top_n_of_nothing(spark):
