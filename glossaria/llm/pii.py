@@ -1,10 +1,16 @@
 """Personal information in free text: found by anchors, widened and checked by local parsers.
 
 One Aho-Corasick automaton finds every literal that can belong to an item: at-signs and their written
-forms, the schemes mailto: and tel:, identifier cues, street words, and the stems of known family names.
-Digit runs and identity numbers without a cue have no literal of their own and are anchored by one pattern each. Around each anchor a deterministic parser widens
-to the item's bounds within a short window and checks its form. The automaton passes over a text once,
-windows are of fixed width, so the cost is linear in the text and very long texts need no special way.
+forms, the schemes mailto: and tel:, identifier and account cues, digits, street words, listed given names and
+the stems of known family names. Around each anchor a deterministic parser widens to the item's bounds and checks
+its form. A parser goes as far as the item does: it stops at a character or after a number of words that no
+item has, never at a distance. Anchors of one kind whose surroundings overlap are parsed together, so
+the cost stays linear in the text and very long texts need no special way.
+
+Identity numbers behind a cue are taken by their form, unless a check letter is wrong or a part is all zeros: a number
+that is said to be one is personal even if it was copied wrongly. Without a cue only forms with a check that holds are
+taken: bank accounts (mod 97), payment cards (Luhn), eight digits with their letter, and numbers of 15 digits with
+their key, besides two letters, three pairs of digits and a letter.
 
 Names: a list of names is never complete. Family names are recognised by stem and ending if both recur in
 the listed ones; given names by standing where a given name stands before (or after) a family name. A
@@ -14,6 +20,7 @@ family name of any other form is found after a listed given name, if a title, a
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -37,6 +44,8 @@ ID_CUES = [
     "national insurance number", "ni number", "ni no", "tax id", "tax no", "tax number", "tin", "steuer-id", "steuernummer", "steuer-nr", "idnr", "dni", "nif", "nie",
     "numéro de sécurité sociale", "n° de sécurité sociale", "no de sécurité sociale", "sécurité sociale", "insee", "nir", "matricule",
 ]
+# Labels that stand before the number of an account or a payment card.
+ACCOUNT_CUES = ["account number", "account no", "acct no", "bank account", "iban", "kontonummer", "konto-nr", "konto nr", "compte n°", "numéro de compte", "número de cuenta", "card number", "card no", "credit card", "debit card", "kreditkarte", "carte bancaire"]
 # Street words after the name, joined to the name, and before the name.
 STREET_AFTER = ["Street", "St", "Road", "Rd", "Lane", "Ln", "Avenue", "Ave", "Drive", "Dr", "Way", "Close", "Court", "Ct", "Boulevard", "Blvd", "Place", "Pl", "Square", "Sq", "Terrace", "Crescent", "Gardens", "Grove", "Row", "Hill", "Walk", "Mews"]
 STREET_JOINED = ["straße", "strasse", "str.", "weg", "gasse", "allee", "platz", "ufer", "damm", "ring"]
@@ -60,11 +69,13 @@ _WEAK_TITLES = {"Don", "From", "Present", "Editor", "Reader", "Tel"}
 _TITLE_LEFT = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(TITLES - _WEAK_TITLES))})[.:,]?[ \xa0]\Z")
 _NO_FAMILY = TITLES | set(STREET_AFTER) | set(STREET_BEFORE)
 
-_LOCAL = re.compile(r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~.À-ɏ-]+$")
+_LOCAL = re.compile(r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~.À-ɏ-]")
+# A scheme with what may follow it up to a mailbox: that is the user part of a link, no mail address.
+_USER_OF_LINK = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\s/@<>\"]*\Z")
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?)"
 _DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.I)
 # In a link: an at-sign may be written %40, and a number of 7 to 15 digits needs no separators.
-_LINKED_MAIL = re.compile(r"[A-Za-z0-9!$'*+/=^_`{|}~.%-]{1,64}?(?:@|%40)(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])", re.I)
+_LINKED_MAIL = re.compile(r"[A-Za-z0-9!$'*+/=^_`{|}~.%-]+?(?:@|%40)(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])", re.I)
 _LINKED_PHONE = re.compile(r"\+?(?:[(.-]{0,2}\d[).-]{0,2}){6,14}\d(?!\w)(?:;ext=\d{1,5}\b)?", re.I)
 
 _NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d ().\xa0/-]{5,}\d(?![\d])")
@@ -84,14 +95,57 @@ _PHONES = [
     re.compile(r"(?:(?:\+|00)49[ ]?(?:\(0\)[ ]?)?|\(?0)[1-9]\d{1,4}\)?[ /-][ ]?\d{3,8}(?:[ -]\d{1,5})?(?!\d)"),
     re.compile(r"\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,5}\)?){2,6}(?!\d)"),
 ]
-_ID_FREE = re.compile(
-    r"(?<![\w.-])(?:[A-Z]{2}[ -]?\d{2}[ -]?\d{2}[ -]?\d{2}[ -]?[A-D](?!\w)"  # two letters, three pairs, a letter
-    r"|[A-Z]{2}\d{7}(?!\w)"  # passport
-    r"|\d{2}\.?\d{3}\.?\d{3}[ -]?[A-Z](?![\w])"  # eight digits and a check letter
-    r"|\d \d\d \d\d \d[\dAB] \d{3} \d{3}(?: \d\d)?(?![\d])"  # 13 or 15 digits in seven groups
-    r")"
-)
+# Forms of identity and account numbers; the check of each is in _CHECKS.
+_FORMS = {
+    "insurance": re.compile(r"[A-Z]{2}[ -]?\d{2}[ -]?\d{2}[ -]?\d{2}[ -]?[A-D](?!\w)"),  # two letters, three pairs, a letter
+    "iban": re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w)"),
+    "letter": re.compile(r"\d{2}\.?\d{3}\.?\d{3}[ -]?[A-Z](?!\w)"),  # eight digits and a check letter
+    "key": re.compile(r"\d \d\d \d\d \d[\dAB] \d{3} \d{3}(?: \d\d)?(?!\d)|\d{15}(?!\w)"),  # 13 digits in six groups, and their key
+    "payment": re.compile(r"[3-6]\d{3}(?:[ -]?\d{4}){3}(?:\d{3})?(?!\w)|3\d{3}[ -]?\d{6}[ -]?\d{5}(?!\w)"),
+}
 _ID_CUED = re.compile(r"(?:\d{3}[ -]?\d{2}[ -]?\d{4}|\d{2} ?\d{3} ?\d{3} ?\d{3}|\d{13}(?:\d{2})?|[A-Z]{1,2}\d{6,8}|[A-Z0-9]{2}\d{6,7}[A-Z0-9]?)(?![\w])")
+_ACCOUNT_CUED = re.compile(r"\d(?:[ -]?\d){5,17}(?!\w)")
+# The check letters of a number of eight digits, by its remainder of 23.
+_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
+
+
+def _compact(text: str) -> str:
+    return re.sub(r"[ .-]", "", text)
+
+
+def _mod97(text: str) -> bool:
+    """An account number's check: its first four characters last, letters as two digits, remainder 1."""
+    value = _compact(text)
+    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+
+
+def _luhn(text: str) -> bool:
+    digits = [int(c) for c in _compact(text)][::-1]
+    return sum(digits[::2]) % 10 == -sum(sum(divmod(2 * d, 10)) for d in digits[1::2]) % 10 and len(set(digits)) > 1
+
+
+def _letter(text: str) -> bool:
+    value = _compact(text)
+    return _LETTERS[int(value[:8]) % 23] == value[8]
+
+
+def _key(text: str) -> bool:
+    """The last two of 15 digits are 97 less the remainder of the others; 2A and 2B stand for 19 and 18."""
+    value = _compact(text).replace("2A", "19").replace("2B", "18")
+    return len(value) == 15 and value.isdigit() and 97 - int(value[:13]) % 97 == int(value[13:])
+
+
+_CHECKS = {"insurance": lambda _: True, "iban": _mod97, "letter": _letter, "key": _key, "payment": _luhn}
+
+
+def _plausible(text: str) -> bool:
+    """A cued number: a check letter must be right, and no part of a number in three parts is all zeros."""
+    value = _compact(text)
+    if re.fullmatch(r"\d{8}[A-Z]", value):
+        return _letter(value)
+    return not re.fullmatch(r"\d{9}", value) or not (value[:3] == "000" or value[3:5] == "00" or value[5:] == "0000")
+
+
 _AFTER_CUE = re.compile(r"(?:[ ]?(?:no|nr|n|number|nummer|id)?[.°º]{0,2})?[\s:=#\"'.|-]{0,4}", re.I)
 
 _HOUSE = r"\d{1,4}(?:[ ]?[a-z](?![\w]))?"
@@ -138,6 +192,23 @@ class NameBook:
         return all(known(p) for p in word.split("-"))
 
 
+class Words:
+    """Where a text's words begin and end, by the single blanks between them."""
+
+    def __init__(self, text: str) -> None:
+        self.gaps, self.size = [m.start() for m in re.finditer("[ \xa0]", text)], len(text)
+
+    def back(self, at: int, words: int) -> int:
+        """The beginning of the word that is so many words before the one at ``at``."""
+        i = bisect_left(self.gaps, at) - words - 1
+        return self.gaps[i] + 1 if i >= 0 else 0
+
+    def on(self, at: int, words: int) -> int:
+        """The end of the word that is so many words after the one at ``at``."""
+        i = bisect_left(self.gaps, at) + words
+        return self.gaps[i] if i < len(self.gaps) else self.size
+
+
 def _lower(text: str) -> str:
     low = text.lower()
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
@@ -155,6 +226,8 @@ class Finder:
             ("mail", AT_SIGNS),
             *SCHEMES.items(),
             ("id", ID_CUES),
+            ("account", ACCOUNT_CUES),
+            ("digit", "0123456789"),
             ("after", [f" {w}" for w in STREET_AFTER]),
             ("joined", STREET_JOINED),
             ("before", [f"{w} " for w in STREET_BEFORE]),
@@ -174,44 +247,44 @@ class Finder:
         if not text:
             return []
         found: list[Item] = []
-        names: list[int] = []
-        given: list[int] = []
+        at: dict[str, list[int]] = {kind: [] for kind in ("name", "given", "id", "account", "mailto", "tel", "digit", "after", "joined", "before", "french")}
         mails: list[tuple[int, int]] = []
-        cues: list[int] = []
-        links: dict[str, list[int]] = {"mailto": [], "tel": []}
-        streets: dict[str, list[int]] = {"after": [], "joined": [], "before": [], "french": []}
+        digit = -2
         for end, (length, kinds) in self.automaton.iter(_lower(text)):
             start = end - length + 1
             for kind in kinds:
-                if kind == "mail":
+                if kind == "digit":
+                    if start != digit + 1:  # the first digit of a group
+                        at["digit"].append(start)
+                    digit = start
+                elif kind == "mail":
                     mails.append((start, end + 1))
-                elif kind == "id":
-                    cues.append(end + 1)
-                elif kind == "name":
-                    names.append(start)
-                elif kind == "given":
-                    given.append(start)
-                elif kind in links:
+                elif kind in ("id", "account"):
+                    at[kind].append(end + 1)
+                elif kind in SCHEMES:
                     if not (start and text[start - 1].isalnum()):
-                        links[kind].append(end + 1)
+                        at[kind].append(end + 1)
                 else:
-                    streets[kind].append(start)
+                    at[kind].append(start)
+        before = 0
         for start, end in mails:
-            self._mail(text, start, end, found)
+            self._mail(text, start, end, before, found)
+            before = end
         for kind, pattern, item in (("mailto", _LINKED_MAIL, "email"), ("tel", _LINKED_PHONE, "phone")):
-            for at in links[kind]:
-                if match := pattern.match(text, at, at + 200):
-                    self._add(found, at, match.end(), item)
-        self._ids(text, cues, found)
-        for match in _NUMBER.finditer(text):
-            self._phone(text, match, found)
-        for kind, pattern in (("after", _ADDRESS_AFTER), ("joined", _ADDRESS_JOINED), ("before", _ADDRESS_BEFORE), ("french", _ADDRESS_FRENCH)):
-            for at in streets[kind]:
-                self._address(text, at, pattern, found)
-        for at in names:
-            self._name(text, at, found)
-        for at in given:
-            self._given(text, at, found)
+            for start in at[kind]:
+                if match := pattern.match(text, start):
+                    self._add(found, start, match.end(), item)
+        self._ids(text, at["digit"], at["id"], at["account"], found)
+        self._phones(text, at["digit"], found)
+        streets = [(at[kind], pattern) for kind, pattern in (("after", _ADDRESS_AFTER), ("joined", _ADDRESS_JOINED), ("before", _ADDRESS_BEFORE), ("french", _ADDRESS_FRENCH)) if at[kind]]
+        if streets or at["name"]:
+            words = Words(text)
+            for anchors, pattern in streets:
+                self._addresses(text, anchors, pattern, words, found)
+            for start in at["name"]:
+                self._name(text, start, words, found)
+        for start in at["given"]:
+            self._given(text, start, found)
         return sorted(found)
 
     @staticmethod
@@ -220,36 +293,69 @@ class Finder:
         if end > start and (i == len(found) or found[i][0] >= end) and (i == 0 or found[i - 1][1] <= start):
             found.insert(i, (start, end, kind))
 
-    def _mail(self, text: str, start: int, end: int, found: list[Item]) -> None:
-        before, after = text[max(0, start - 80) : start], text[end : end + 160]
-        left, right = before.rstrip(" "), after.lstrip(" ")
-        spaced = len(left) < len(before) or len(right) < len(after)
-        local = _LOCAL.search(left[-70:])
-        if not local:
-            return
-        mailbox = local.group().lstrip(".'`=|/{?&!#$%*^~-")
-        if mailbox.lower().startswith("mailto:"):
-            mailbox = mailbox[7:]
+    def _mail(self, text: str, start: int, end: int, low: int, found: list[Item]) -> None:
+        """The mailbox to the left, as far as its characters go but not into the last anchor's; the domain to the right."""
+        left = start
+        while left > low and text[left - 1] == " ":
+            left -= 1
+        first = left
+        while first > low and _LOCAL.match(text[first - 1]):
+            first -= 1
+        right = end
+        while right < len(text) and text[right] == " ":
+            right += 1
+        spaced = left < start or right > end
+        mailbox = text[first:left].lstrip(".'`=|/{?&!#$%*^~-")
         for mark in ("=", "|", "/", "'"):
             mailbox = mailbox.rpartition(mark)[2]
-        domain = _DOMAIN.match(right)
+        domain = _DOMAIN.match(text, right)
         if not mailbox or mailbox.endswith(".") or not domain:
             return
-        labels = re.split(_DOT, domain.group(), flags=re.I)
-        if not re.fullmatch(r"[A-Za-z]{2,}", labels[-1]) or spaced and text[start:end] in "@＠﹫" and not re.search(r"[a-z]{2}", labels[-1], re.I):
+        last = re.split(_DOT, domain.group(), flags=re.I)[-1]
+        if not re.fullmatch(r"[A-Za-z]{2,}", last) or spaced and text[start:end] in "@＠﹫" and not re.search(r"[a-z]{2}", last, re.I):
             return
-        at = start - (len(before) - len(left)) - len(mailbox)
-        stop = end + (len(after) - len(right)) + domain.end()
-        self._add(found, at, stop, "email")
-
-    def _ids(self, text: str, cues: list[int], found: list[Item]) -> None:
-        for match in _ID_FREE.finditer(text):
-            self._add(found, match.start(), match.end(), "id_number")
-        for cue in cues:
+        at = left - len(mailbox)
+        if text[at - 1 : at] in (":", "/") and _USER_OF_LINK.search(text, self._word_start(text, at, low), at):
+            return
+        self._add(found, at, domain.end(), "email")
+
+    @staticmethod
+    def _word_start(text: str, at: int, low: int) -> int:
+        while at > low and not text[at - 1].isspace():
+            at -= 1
+        return at
+
+    def _ids(self, text: str, digits: list[int], cues: list[int], accounts: list[int], found: list[Item]) -> None:
+        for cue, cued in sorted([(c, False) for c in cues] + [(c, True) for c in accounts]):
             gap = _AFTER_CUE.match(text, cue, cue + 24)
             at = gap.end() if gap else cue
-            if value := _ID_CUED.match(text, at):
-                self._add(found, at, value.end(), "id_number")
+            for pattern in (*_FORMS.values(), _ID_CUED, *([_ACCOUNT_CUED] if cued else [])):
+                value = pattern.match(text, at)
+                if value and (pattern not in (_FORMS["iban"], _FORMS["payment"]) or cued or _CHECKS["iban" if pattern is _FORMS["iban"] else "payment"](value.group())) and _plausible(value.group()):
+                    self._add(found, at, value.end(), "id_number")
+                    break
+        done = 0
+        for at in digits:
+            for start in (at - 3, at - 2, at):
+                if start < done or start and (text[start - 1].isalnum() or text[start - 1] in "_.-"):
+                    continue
+                for kind, pattern in _FORMS.items():
+                    value = pattern.match(text, start)
+                    if value and value.end() > at and _CHECKS[kind](value.group()):
+                        self._add(found, start, value.end(), "id_number")
+                        done = value.end()
+                        break
+
+    def _phones(self, text: str, digits: list[int], found: list[Item]) -> None:
+        """Runs of digits that may hold telephone numbers, from the first digit of a group and the sign before it."""
+        done = 0
+        for at in digits:
+            if at < done:
+                continue
+            signed = at and text[at - 1] in "+(" and at > done
+            if run := (signed and _NUMBER.match(text, at - 1)) or _NUMBER.match(text, at):
+                self._phone(text, run, found)
+                done = run.end()
 
     def _phone(self, text: str, run: re.Match, found: list[Item]) -> None:
         """All numbers of a run of digits: tried wherever a group of digits or a bracket begins, and again after each one found."""
@@ -285,26 +391,31 @@ class Finder:
                 return tail.end() if tail else match.end()
         return None
 
-    def _address(self, text: str, at: int, pattern: re.Pattern, found: list[Item]) -> None:
-        low = max(0, at - 70)
-        for match in pattern.finditer(text, low, min(len(text), at + 90)):
-            if match.start() == low and low and text[low - 1].isalnum():
-                continue
-            if match.start() <= at < match.end():
+    def _addresses(self, text: str, anchors: list[int], pattern: re.Pattern, words: Words, found: list[Item]) -> None:
+        """Addresses around street words: no form has more than six words before its street word or ten after it."""
+        low, high = words.back(anchors[0], 6), words.on(anchors[0], 10)
+        spans = []
+        for at in anchors[1:]:
+            if words.back(at, 6) > high:
+                spans.append((low, high))
+                low = words.back(at, 6)
+            high = max(high, words.on(at, 10))
+        for low, high in [*spans, (low, high)]:
+            for match in pattern.finditer(text, low, high):
                 self._add(found, match.start(), match.end(), "address")
-                return
 
-    def _name(self, text: str, at: int, found: list[Item]) -> None:
+    def _name(self, text: str, at: int, words: Words, found: list[Item]) -> None:
         if at and (text[at - 1].isalnum() or text[at - 1] in "_@."):
             return
         match = _TOKEN.match(text, at)
         if not match or text[match.end() : match.end() + 1] in ("_", "@") or text[match.end() : match.end() + 1].isdigit():
             return
         word = match.group()
-        low = max(0, at - 60)
         if not self.book.is_family(word):
             return
-        left = _LEFT.search(text, low, at)
+        behind = at and text[at - 1] in " \xa0"
+        low = words.back(at, 6)  # a given name, two initials and two particles at most
+        left = _LEFT.search(text, low, at) if behind else None
         if left:
             given = left.group(1)
             first = given.split(" ")[0].split("\xa0")[0]
@@ -317,14 +428,14 @@ class Finder:
             if first not in TITLES and not self.book.is_family(first):
                 self._add(found, left.start(1), match.end(), "name")
                 return
-        right = _RIGHT.match(text, match.end(), match.end() + 60)
+        right = _RIGHT.match(text, match.end())
         if right:
             first = right.group(1).split(" ")[0]
             lists = text[right.end() : right.end() + 1] == " " and self.book.is_family((_TOKEN.match(text, right.end() + 1) or match).group()) and _TOKEN.match(text, right.end() + 1)
             plain = all(p in self.book.given or p[:1] + p[1:].lower() in self.book.given for p in first.split("-"))
             if not lists and (plain or _INITIALS.match(right.group(1)) or first not in TITLES and not self.book.is_family(first)):
                 start = at
-                if particle := _PARTICLES_LEFT.search(text, low, at):
+                if particle := behind and _PARTICLES_LEFT.search(text, low, at):
                     start = particle.start()
                 self._add(found, start, right.end(), "name")
 
@@ -332,7 +443,7 @@ class Finder:
         """A listed given name with a family name of any form, if a title or label stands before or a mailbox or telephone comes next."""
         if at and (text[at - 1].isalnum() or text[at - 1] in "_@.-'’"):
             return
-        match = _GIVEN_FIRST.match(text, at, at + 90)
+        match = _GIVEN_FIRST.match(text, at)
         if not match or match.group(1) not in self.book.given or match.group(2) in _NO_FAMILY:
             return
         end = match.end()
@@ -366,6 +477,17 @@ def _book(names: DataFrame, most: int) -> NameBook:
     return NameBook.of((r[0], r[1]) for r in rows)
 
 
+_finders: dict[str, Finder] = {}
+
+
+def _finder(name: str, book: NameBook) -> Finder:
+    """The finder of a list of names, built once per Python worker."""
+    if name not in _finders:
+        _finders.clear()
+        _finders[name] = Finder(book)
+    return _finders[name]
+
+
 def find_pii(docs: DataFrame, doc_id: str, text: str, names: DataFrame, most_names: int = 200_000) -> DataFrame:
     """One row ``(doc_id, pii_type, start_pos, end_pos)`` per item; positions count characters from 1, the end is exclusive.
 
@@ -373,10 +495,10 @@ def find_pii(docs: DataFrame, doc_id: str, text: str, names: DataFrame, most_nam
     a parameter of bounded size (``most_names`` rows, else an error); null and empty names are skipped and
     an empty list finds no names. Other columns are never read.
     """
-    book = _book(names, most_names)
+    name, book = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(_book(names, most_names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        finder = Finder(book)
+        finder = _finder(name, book.value)
         for batch in batches:
             rows = [(i, kind, s + 1, e + 1) for i, t in zip(batch["doc_id"], batch["text"], strict=True) if t for s, e, kind in finder.find(t)]
             yield pd.DataFrame(rows, columns=["doc_id", "pii_type", "start_pos", "end_pos"])
@@ -386,10 +508,10 @@ def find_pii(docs: DataFrame, doc_id: str, text: str, names: DataFrame, most_nam
 
 def redact(docs: DataFrame, doc_id: str, text: str, names: DataFrame, most_names: int = 200_000) -> DataFrame:
     """One row ``(doc_id, text, n_items)`` per document with typed placeholders; null and empty texts stay as they are."""
-    book = _book(names, most_names)
+    name, book = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(_book(names, most_names))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        finder = Finder(book)
+        finder = _finder(name, book.value)
         for batch in batches:
             items = [finder.find(t) if t else [] for t in batch["text"]]
             done = [replace(t, i) for t, i in zip(batch["text"], items, strict=True)]

@@ -399,3 +399,48 @@ def test_links(text, want):
 )
 def test_family_names_of_any_form(text, names):
     assert [text[a:b] for a, b, k in Finder(NameBook.of([*NAMES, ("Anna", "given")])).find(text) if k == "name"] == names
+
+
+# --- personal information: long items, checks, cost -------------------------------------------------------
+
+FINDER = Finder(NameBook.of([(n, "family") for n in ("Ashmere", "Ashford", "Ashwell", "Oakmere", "Oakford", "Oakwell", "Elmmere", "Elmford", "Elmwell")] + [("Anna", "given")]))
+
+
+def kinds(text):
+    return [(k, text[s:e]) for s, e, k in FINDER.find(text)]
+
+
+def test_long_items_are_found_whole():
+    mail = "x" * 300 + "@" + "abc." * 70 + "org"
+    assert kinds(f"write to {mail} now") == [("email", mail)]
+    assert FINDER.find(f"mailto:{mail} now") and replace(f"<{mail}>", FINDER.find(f"<{mail}>")) == "<[EMAIL]>"
+    street = f"12 {'Ab' * 200} Street"
+    assert kinds(f"at {street} there") == [("address", street)]
+    given = "A" + "n" * 200
+    assert kinds(f"by {given} Ashmere here") == [("name", f"{given} Ashmere")]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("SSN 000-12-3456", []), ("SSN 123-45-6789", [("id_number", "123-45-6789")]), ("DNI 12345678A", []), ("DNI 12345678Z", [("id_number", "12345678Z")]), ("12345678A", []), ("12345678Z", [("id_number", "12345678Z")]),
+        ("pay DE89 3704 0044 0532 0130 00 now", [("id_number", "DE89 3704 0044 0532 0130 00")]), ("pay DE88 3704 0044 0532 0130 00 now", []), ("with 4111 1111 1111 1111.", [("id_number", "4111 1111 1111 1111")]), ("with 4111 1111 1111 1112.", []),
+        ("account number 12345678", [("id_number", "12345678")]), ("code AB1234567", []), ("passport AB1234567", [("id_number", "AB1234567")]), ("https://bob:pw@host.example.org/x", []), ("ftp://bob@host.example.org", []), ("mailto:bob@host.example.org", [("email", "bob@host.example.org")]),
+        ("2 55 08 14 168 025 38", [("id_number", "2 55 08 14 168 025 38")]), ("2 55 08 14 168 025 39", []),
+    ],
+)
+def test_numbers_are_checked(text, want):
+    assert kinds(text) == want
+
+
+@pytest.mark.parametrize("unit", ["12 Oak Street, London ", "bob@example.org ", "Anna Ashmere ", "weg", "4111 1111 ", "a@", "{at}", "12 Oak Street", "card 12 "])
+def test_cost_is_linear_in_the_text(unit):
+    import time
+
+    def seconds(n):
+        text, start = unit * (n // len(unit)), time.perf_counter()
+        FINDER.find(text)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(1_000_000) < 20 * seconds(125_000) + 0.5
