@@ -30,6 +30,25 @@ def salted_join(rows: DataFrame, other: DataFrame, keys: list[str], how: str = "
     return rows.withColumn("_salt", salt(parts)).join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
+def hot_hashes(counts: DataFrame, keys: list[str], n: str = "n", parts: int = 256, least_rows: int = 10_000) -> list[int]:
+    """Hashes of the key values that hold at least ``1 / parts`` of all rows, and ``least_rows``, by ``counts``: at most ``parts``.
+
+    A hash instead of a value, as values may be long texts.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    per = counts.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.sum(n).alias("_n")).where(F.col("_n") >= max(total / parts, least_rows))
+    return [r[0] for r in per.select("_h").limit(parts).collect()]
+
+
+def spread_join(rows: DataFrame, other: DataFrame, keys: list[str], how: str, hot: list[int], parts: int = 64) -> DataFrame:
+    """A left, semi or anti join on equal ``keys`` that salts the rows whose keys' hash is in ``hot``; all others are joined as usual."""
+    if not hot:
+        return rows.join(other, keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    usual = rows.where(~is_hot).join(other.where(~is_hot), keys, how)
+    return usual.unionByName(salted_join(rows.where(is_hot), other.where(is_hot), keys, how, parts))
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, parts: int = 256, least_rows: int = 10_000) -> DataFrame:
     """``rows`` left-joined with ``lookup`` (unique in ``key``), without ever gathering a heavy key.
 
