@@ -1,9 +1,15 @@
 """Broken prompt and response pairs, each with the type of its defect.
 
-Responses are sorted by text and neighbours' common prefixes compared: a response that the next one in
-order continues is a shortened version of it. Lengths at which a run's responses pile up are its length
-limits. Both are evidence for truncation beside the phrase statistics of :mod:`truncation`. Then come the
-rules for copies of the prompt, refusals and answers in another language.
+Truncated answers are found by what hints at them, then by phrases:
+
+1. Responses are sorted by text and neighbours' common prefixes compared: a response that the next one in order goes on
+   from inside a word is a shortened version of it, or happens to be the beginning of another word.
+2. Lengths at which a run's responses pile up are its length limits; a response of such a length may have been cut there.
+3. The phrase statistics of :mod:`truncation` tell, with a lower threshold for what 1 or 2 hint at, whether a response
+   stops in a word or where its phrase cannot end.
+
+Then come the rules for copies of the prompt, refusals and answers in another language. A key may hold any part of
+the rows: texts, articles and words that do are salted, and a text is judged once however often it stands.
 """
 
 from __future__ import annotations
@@ -11,12 +17,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossaria.functions.normalize import words_key
-from glossaria.llm.truncation import Limits, truncated_texts
-from glossaria.operators.skew import lookup_join
+from glossaria.llm.truncation import Limits, judged_texts
+from glossaria.operators.skew import hot_hashes, lookup_join, spread_join
 from glossaria.workspace import materialise
 
 # How a refusal begins, the verbs of what is refused, and whole answers that refuse.
@@ -32,33 +39,40 @@ _NOTHING_SAID = (
 )
 
 
+#: Sorts behind every other character.
+_LAST = "\U0010ffff"
+
+
 def shortened(texts: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``(text, longer, common)`` for each distinct text that the next one in byte order continues.
+    """``(text, longer, common)`` for each distinct text that another one goes on from; inside a word, if any does.
 
-    The order is made by range partitioning and a sort within partitions; where a partition ends, the next
-    one's first text is looked up among the first texts of all partitions, of which there is one each.
+    In the order used, letters come before all other characters, so what continues a text inside a word stands right
+    behind it, and the next text alone decides. The order is made by range partitioning and a sort within partitions;
+    each task also hands out the first and last text it saw, and these meet across partitions (one pair each).
     """
     spark = texts.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = texts.select("text").where("text is not null and text != ''").distinct().repartitionByRange(n, "text").sortWithinPartitions("text")
-    ordered = materialise(ordered.select("text", F.spark_partition_id().alias("part")), "sorted")
-    firsts = ordered.groupBy("part").agg(F.min("text").alias("first"), F.max("text").alias("last"))
-    follow = firsts.withColumn("next", F.lead("first").over(Window.orderBy("part"))).select(F.col("last").alias("text"), "next").where("next is not null")
+    key = F.regexp_replace("text", r"([^\p{L}])", f"{_LAST}$1")
 
     def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        before, part = None, None
+        part, before, columns = TaskContext.get().partitionId(), None, ["part", "place", "text", "longer"]
         for batch in batches:
             rows = []
-            for text, p in zip(batch["text"], batch["part"], strict=True):
-                if before is not None and p == part and text.startswith(before):
-                    rows.append((before, text))
-                before, part = text, p
-            yield pd.DataFrame(rows, columns=["text", "next"])
-
-    # a partition was written in order; sorting once more within (part, text) keeps that true when files are split
-    within = ordered.repartition(n, "part").sortWithinPartitions("part", "text").mapInPandas(neighbours, "text string, next string")
-    across = follow.where(F.col("next").startswith(F.col("text")))
-    return within.unionByName(across).select("text", F.col("next").alias("longer"), F.length("text").alias("common"))
+            for text in batch["text"]:
+                if before is None:
+                    rows.append((part, "first", text, None))
+                elif text.startswith(before):
+                    rows.append((part, "within", before, text))
+                before = text
+            yield pd.DataFrame(rows, columns=columns)
+        if before is not None:
+            yield pd.DataFrame([(part, "last", before, None)], columns=columns)
+
+    ordered = texts.select("text").where("text is not null and text != ''").distinct().repartitionByRange(n, key).sortWithinPartitions(key)
+    found = materialise(ordered.mapInPandas(neighbours, "part int, place string, text string, longer string"), "neighbours")
+    ends = found.where("place != 'within'").groupBy("part").agg(*[F.max(F.when(F.col("place") == p, F.col("text"))).alias(p) for p in ("first", "last")])
+    across = ends.select(F.col("last").alias("text"), F.lead("first").over(Window.orderBy("part")).alias("longer")).where(F.startswith("longer", F.col("text")))
+    return found.where("place = 'within'").select("text", "longer").unionByName(across).select("text", "longer", F.length("text").alias("common"))
 
 
 def length_limits(answers: DataFrame, factor: float = 4.0, least: int = 20) -> DataFrame:
@@ -87,7 +101,7 @@ def english_share(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(text, known, total)``: how many words of each distinct ``(text, key)`` are in the vocabulary; a word counts as often as it stands."""
     words = texts.select("text", F.explode(F.split("key", " ")).alias("word")).where("word != '' and not word rlike '^[0-9]+$'")
     known = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([(w,) for w in COMMON_ENGLISH], "word string")).distinct().withColumn("known", F.lit(1))
-    return words.join(known, "word", "left").groupBy("text").agg(F.count("known").alias("known"), F.count(F.lit(1)).alias("total"))
+    return lookup_join(words, known, "word").groupBy("text").agg(F.count("known").alias("known"), F.count(F.lit(1)).alias("total"))
 
 
 def _instructions(prompts: DataFrame, most: int, least_words: int) -> list[str]:
@@ -99,59 +113,68 @@ def _instructions(prompts: DataFrame, most: int, least_words: int) -> list[str]:
     return sorted(p for p in rows if len(p.split()) >= least_words)
 
 
+def cut_answers(answers: DataFrame, judged: DataFrame, pool: DataFrame) -> DataFrame:
+    """``(text, by)`` of the distinct answers ``(text, run, key, n)`` that are cut; by is 'length limit', 'neighbour' or 'phrase'.
+
+    ``judged`` are the texts that phrases find cut, or would with a hint; ``pool (text)`` are the texts that neighbours are
+    looked for in. A hint is a length limit of a run that gave the answer, or a neighbour that continues it inside a word.
+    """
+    mid_word = F.substring("longer", F.col("common") + 1, F.lit(1)).rlike(r"\p{L}") & F.substring("text", -1, 1).rlike(r"\p{L}")
+    neighbours = shortened(pool).where(mid_word).select("text", F.lit("neighbour").alias("by"))
+    by_limit = answers.withColumn("n_chars", F.length("text")).join(length_limits(answers), ["run", "n_chars"], "left_semi").select("text", F.lit("length limit").alias("by"))
+    hints = neighbours.unionByName(by_limit).groupBy("text").agg(F.min("by").alias("by"))
+    rows = judged.join(answers.select("text").distinct(), "text", "left_semi").join(hints, "text", "left")
+    return rows.where("test is not null or by is not null").select("text", F.coalesce("by", F.lit("phrase")).alias("by"))
+
+
 def find_defects(
     answers: DataFrame, articles: DataFrame, prompts: DataFrame, glosses: DataFrame, limits: Limits = Limits(), least_share: float = 0.5, most_prompts: int = 10_000, least_words: int = 4
 ) -> DataFrame:
-    """One row ``(rec_id, defect)`` for each defective answer.
+    """One row ``(rec_id, defect, by)`` for each defective answer; ``by`` says what found a truncated one.
 
     ``answers (rec_id, idx, text, run)``, ``articles (idx, headword, body)`` unique in idx, ``prompts (body)``,
     ``glosses (owner, text)`` of good glosses for phrase and word statistics. Defects, the first that holds:
     'empty' (null, or no letter and no digit), 'copy' (the headword, once or repeated; the beginning of the
     article from the headword on; the wording of an instruction), 'refusal', 'truncated', 'language' (fewer than
-    ``least_share`` of the words are English). An answer about an article that does not exist cannot copy
-    it. Repeated lines are judged once and each reported. Equal answers to different articles are judged
-    for each article. Tables may be empty; other columns are never read.
+    ``least_share`` of the words are English, which is what glosses that are not cut use). An answer about an article that
+    does not exist cannot copy it. Repeated lines are judged once and each reported. Equal answers to different
+    articles are judged for each article. Tables may be empty; other columns are never read.
     """
-    rows = answers.select("rec_id", "idx", "text", "run")
+    rows = answers.select("rec_id", F.coalesce(F.col("idx").cast("string"), F.lit("")).alias("idx"), "text", "run")
     says = F.col("text").rlike(r"[\p{L}\p{N}]")
-    empty = rows.where(F.col("text").isNull() | ~says).select("rec_id", F.lit("empty").alias("defect"))
+    empty = rows.where(F.col("text").isNull() | ~says).select("rec_id", F.lit("empty").alias("defect"), F.lit(None).cast("string").alias("by"))
     # each step is written: the next ones plan over files, and no step is computed twice
-    pairs = materialise(rows.where(says).select("idx", "text", "run").distinct().withColumn("key", words_key(F.col("text"))), "answers")
+    pairs = materialise(rows.where(says).groupBy("idx", "text", "run").agg(F.count(F.lit(1)).alias("n")).withColumn("key", words_key(F.col("text"))), "answers")
     good = glosses.where("text is not null").groupBy("text").agg(F.count_distinct("owner").alias("owners"), F.count(F.lit(1)).alias("n"))
     good = materialise(good.withColumn("key", words_key(F.col("text"))), "glosses")
-    once = pairs.select("idx", "text", "key").distinct()
     distinct = pairs.select("text", "key").distinct()
 
-    copies = materialise(_copies(once, articles, _instructions(prompts, most_prompts, least_words), least_words), "copies")
+    units = glosses.select(F.concat(F.lit("g"), F.col("owner")).alias("owner"), "text").unionByName(pairs.select(F.concat(F.lit("a"), F.col("idx")).alias("owner"), "text"))
+    judged = materialise(judged_texts(units, limits), "judged")
+    cut = cut_answers(pairs, judged, distinct.select("text").unionByName(good.select("text")))
 
     known = good.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-    refusals = materialise(distinct.where(F.col("key").rlike(f"^(?:{_DECLINES}|{_NOTHING_SAID})$")).join(known, "key", "left_anti").select("text", F.lit("refusal").alias("found")), "refusals")
-
-    units = glosses.select(F.concat(F.lit("g"), F.col("owner")).alias("owner"), "text").unionByName(once.select(F.concat(F.lit("a"), F.col("idx").cast("string")).alias("owner"), "text"))
-    cut = materialise(truncated_texts(units, limits).join(distinct, "text", "left_semi"), "cut")
-    # evidence of the neighbours: continued inside a word by an answer to the same article, or by any at a length limit
-    mid_word = F.substring("longer", F.col("common") + 1, F.lit(1)).rlike(r"\p{L}") & F.substring("text", -1, 1).rlike(r"\p{L}")
-    neighbours = materialise(shortened(distinct).where(mid_word), "neighbours")
-    limit = pairs.withColumn("n_chars", F.length("text")).join(length_limits(pairs), ["run", "n_chars"], "left_semi").select("text")
-    by_limit = neighbours.join(limit, "text", "left_semi").select("text")
-    same = neighbours.join(once.select("idx", "text"), "text").join(once.select("idx", F.col("text").alias("longer")), ["idx", "longer"], "left_semi").select("text")
-    cut = cut.unionByName(by_limit).unionByName(same).select("text", F.lit("truncated").alias("found"))
+    refusals = distinct.where(F.col("key").rlike(f"^(?:{_DECLINES}|{_NOTHING_SAID})$")).join(known, "key", "left_anti")
+    whole = good.join(judged.where("test is not null").select("text"), "text", "left_anti")
+    share = english_share(distinct, english_words(whole))
+    foreign = share.where(F.col("known") < least_share * F.col("total"))
 
-    share = english_share(distinct, english_words(good))
-    foreign = share.where(F.col("known") < least_share * F.col("total")).select("text", F.lit("language").alias("found"))
+    def found(df: DataFrame, turn: int, defect: str, by: Column) -> DataFrame:
+        return df.select("text", F.struct(F.lit(turn).alias("turn"), F.lit(defect).alias("defect"), by.cast("string").alias("by")).alias("v"))
 
-    order = F.min(F.struct(F.array_position(F.array(*map(F.lit, ("refusal", "truncated", "language"))), F.col("found")).alias("k"), "found"))
-    verdict = materialise(refusals.unionByName(cut).unionByName(foreign).groupBy("text").agg(order.alias("v")).select("text", "v.found"), "verdicts")
-    copied = copies.select(F.col("idx").alias("_idx"), F.col("text").alias("_text"))
-    is_copy = F.col("text").eqNullSafe(F.col("_text")) & F.col("idx").eqNullSafe(F.col("_idx"))
-    by_copy = rows.join(copied, is_copy, "left_semi").select("rec_id", F.lit("copy").alias("defect"))
-    others = rows.join(copied, is_copy, "left_anti").join(verdict, "text").select("rec_id", F.col("found").alias("defect"))
-    return by_copy.unionByName(others).unionByName(empty)
+    every = found(refusals, 1, "refusal", F.lit(None)).unionByName(found(cut, 2, "truncated", F.col("by"))).unionByName(found(foreign, 3, "language", F.lit(None)))
+    verdict = materialise(every.groupBy("text").agg(F.min("v").alias("v")).select("text", "v.defect", "v.by"), "verdicts")
+    copied = materialise(_copies(pairs.select("idx", "text", "key").distinct(), articles, _instructions(prompts, most_prompts, least_words), least_words).withColumn("copied", F.lit(True)), "copies")
+    hot = hot_hashes(pairs, ["text"])
+    told = spread_join(rows.where(says), verdict, ["text"], "left", hot)
+    told = spread_join(told, copied, ["text", "idx"], "left", hot_hashes(pairs, ["text", "idx"]))
+    defect = F.when(F.col("copied"), "copy").otherwise(F.col("defect"))
+    return told.select("rec_id", defect.alias("defect"), F.when(defect == "truncated", F.col("by")).alias("by")).where("defect is not null").unionByName(empty)
 
 
 def _copies(once: DataFrame, articles: DataFrame, instructions: list[str], least_words: int) -> DataFrame:
     """Those of the answers ``(idx, text, key)`` that give back the headword, the article's beginning or an instruction."""
-    seen = articles.select("idx", F.col("headword"), F.col("body"))
+    seen = articles.select(F.col("idx").cast("string").alias("idx"), F.col("headword"), F.col("body")).where("idx is not null")
     looked = lookup_join(once, seen, "idx").withColumn("head", words_key(F.col("headword"))).withColumn("article", words_key(F.col("body")))
     head = F.length("head") > 0
     apart = [F.concat(F.lit(" "), F.replace(F.col(c), F.lit(" "), F.lit("  ")), F.lit(" ")) for c in ("key", "head")]

@@ -36,6 +36,11 @@ def p1_rates(spark: SparkSession, sf: str) -> DataFrame:
     return truncation_rates(_texts(spark, sf))
 
 
+def p1_tests(spark: SparkSession, sf: str) -> DataFrame:
+    """Cut records by the test that found them."""
+    return find_truncated(_texts(spark, sf)).groupBy("tab", "test").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lemma_map", "row_id", "form", "headword")
     fields = [F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in ("form", "headword")]
@@ -48,12 +53,21 @@ def p2_consistent(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("row_id", consistent(F.col("form")).alias("form"), consistent(F.col("headword")).alias("headword"))
 
 
-def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+def _defects(spark: SparkSession, sf: str) -> DataFrame:
     answers = table(spark, sf, "freqfix_fw_headings2_ckpt").select("rec_id", F.col("i").alias("idx"), F.col("g").alias("text"), "run")
     glosses = table(spark, sf, "lemma_map").select(F.coalesce("key", "lemma").alias("owner"), F.col("gloss").alias("text"))
     return find_defects(answers, table(spark, sf, "entry", "idx", "headword", "body"), table(spark, sf, "prompt_text", "body"), glosses)
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _defects(spark, sf).select("rec_id", "defect")
+
+
+def p4_evidence(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers by defect and, if truncated, by what found them."""
+    return _defects(spark, sf).groupBy("defect", "by").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(table(spark, sf, "lemma_map", "row_id", "form", "lemma", "freq"), "lemma", "form", "freq", "row_id").select("row_id")
 
@@ -96,7 +110,7 @@ def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return redact(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf, "name_list"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p5_found": p5_found, "p5_row_groups": p5_row_groups,
+QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p1_tests": p1_tests, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p4_evidence": p4_evidence, "p5_found": p5_found, "p5_row_groups": p5_row_groups,
     "p6_packed": p6_packed,
     "p6_fill": p6_fill,
     "p7_mixed": p7_mixed,

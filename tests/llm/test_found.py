@@ -45,6 +45,26 @@ def test_truncation_of_nothing(spark):
     assert [tuple(r) for r in truncation.truncation_rates(df).collect()] == [("t", None, 1, 0, 0.0)]
 
 
+def test_a_hot_text_is_judged_once_and_found_in_every_row(spark, monkeypatch):
+    from glossaria.operators import skew
+
+    rows = [("t", i, "s", o, t) for i, (o, t) in enumerate(glosses() + [("x", "one who lifts the")] * 40 + [("y", "what kind of")] * 40)]
+    df = spark.createDataFrame(rows, "tab string, row_id bigint, source string, owner string, text string")
+    hot = truncation.hot_hashes(df.select("text", F.lit(1).alias("n")), ["text"], least_rows=20)
+    assert len(hot) == 2
+    monkeypatch.setattr(truncation, "hot_hashes", lambda *a, **k: hot)
+    assert truncation.find_truncated(df).count() == 40
+    assert skew.spread_join(df, df.select("text").distinct(), ["text"], "left_anti", hot).count() == 0
+
+
+def test_long_words_have_their_beginnings_counted(spark):
+    word = "pneumono" * 20
+    rows = [("t", i, "s", f"k{i}", f"one who {v} the {word}, {NOUNS[i % 16]}") for i, v in enumerate(VERBS * 10)] + [("t", 500 + i, "s", o, t) for i, (o, t) in enumerate(glosses())]
+    rows += [("t", 1000, "s", "x", f"one who lifts the {word[:100]}"), ("t", 1001, "s", "y", f"one who lifts the {word}")]
+    df = spark.createDataFrame(rows, "tab string, row_id bigint, source string, owner string, text string")
+    assert [r["row_id"] for r in truncation.find_truncated(df).collect()] == [1000]
+
+
 # --- look-alike characters -------------------------------------------------------------------------------
 
 
@@ -138,6 +158,16 @@ def test_top_n_of_nothing(spark):
     assert topn.top_n(spark.createDataFrame([], "lemma string, form string, freq bigint, row_id bigint"), "lemma", "form", "freq", "row_id").count() == 0
 
 
+# --- neighbours ---
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_neighbours_find_what_goes_on_inside_a_word(spark, partitions):
+    texts = ["a", "a b", "ab", "a, b", "abc", "to", "to lift", "tongue", "the ox", "the oxen", "the ox, calf", "x", "x y", "", None, "É", "Éa"]
+    got = {r["text"]: r["longer"] for r in pairs.shortened(spark.createDataFrame([(t,) for t in texts], "text string"), partitions).collect()}
+    assert got == {"a": "ab", "ab": "abc", "to": "tongue", "the ox": "the oxen", "x": "x y", "É": "Éa"}
+
+
 # --- defects of answers ----------------------------------------------------------------------------------
 
 
