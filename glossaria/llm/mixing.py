@@ -1,24 +1,25 @@
 """Mixing sources to target weights.
 
 How often a source is used on average follows from its share of the total size: that many whole copies of
-every record are certain, the fraction is drawn. The draw is Pareto order sampling: records are ranked by
-their random odds divided by their inclusion odds, and the lowest ranks are taken until the source's
-size is reached. The random number of a record is a hash of its id and the seed, so a rerun, or the
-loss of an executor, changes nothing.
-
-The cut in the ranking is found without sorting a source: ranks are mapped to bins of a few hundred records,
-bin sums give the bin of the cut, and only that bin and the three after it are ordered. There each record
-in turn is taken if it still fits, so that a source misses its size by less than its smallest records.
+every record are certain, the fraction is drawn. The draw is Pareto order sampling with unequal chances: a record's
+inclusion chance is in proportion to its weight (by default its size), at most 1; records are ranked by their
+random odds divided by their inclusion odds, and the lowest ranks are taken, in order and none passed over, until the
+source's size is reached; the record that crosses it is taken if that comes nearer. The random number of a record is
+a hash of its id and the seed, so a rerun, or the loss of an executor, changes nothing.
+
+Neither the factor of the chances nor the cut needs a source sorted: the factor comes from sums over bins of the
+weights, the cut from sums over bins of the ranks, and only the one bin with the cut, some hundred records, is ordered.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Records per bin, and most bins per source.
 PER_BIN, MOST_BINS = 200, 1 << 20
+#: Bins of the weights to a doubling.
+WEIGHT_BINS = 64
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -57,62 +58,63 @@ def plan(sizes: DataFrame, targets: DataFrame, total: int | None = None, most_so
     )
 
 
-def pareto_mix(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 1, weight: str | None = None, per_bin: int = PER_BIN) -> DataFrame:
+def _factors(docs: DataFrame) -> dict[str, float]:
+    """Per source the factor k for which chances min(1, k * w) have the source's rest as their expected size.
+
+    One pass: sums per bin of the logarithm of w, WEIGHT_BINS to a doubling; within a bin the weights are taken as equal.
+    """
+    bin_of = F.floor(F.log2("w") * WEIGHT_BINS).cast("int")
+    rows = docs.where("w > 0 and fraction > 0").groupBy("source", bin_of.alias("bin")).agg(F.sum("n_tokens").alias("size"), F.sum(F.col("w") * F.col("n_tokens")).alias("open"), F.max("w").alias("w"), F.max("rest").alias("rest")).collect()
+    by: dict[str, list] = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    out = {}
+    for source, bins in by.items():
+        bins.sort(key=lambda r: -r["bin"])
+        rest, open_ = float(bins[0]["rest"]), float(sum(r["open"] for r in bins))
+        for r in bins:  # the heaviest become certain, one bin after the other, while the factor asks for it
+            if rest <= 0 or not open_ or rest / open_ * r["w"] < 1:
+                break
+            rest, open_ = rest - r["size"], open_ - r["open"]
+        out[source] = max(rest, 0.0) / open_ if open_ > 0 else float("inf")
+    return out
+
+
+def pareto_mix(sizes: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 1, weight: str | None = "n_tokens", per_bin: int = PER_BIN) -> DataFrame:
     """How often each record is used: ``(doc_id, source, n_tokens, copies)``, for records used at least once.
 
-    ``sizes (doc_id, source, n_tokens)`` with unique doc_id, ``targets (source, target_share, max_repeats)``. With
-    ``weight``, a column of ``sizes``, inclusion is in proportion to it (null or negative as 0, a chance
-    of 1 at most); otherwise all records of a source have the same chance. Records without tokens and
+    ``sizes (doc_id, source, n_tokens)`` with unique doc_id, ``targets (source, target_share, max_repeats)``. Inclusion of the
+    drawn copy is in proportion to ``weight``, a column of ``sizes`` (null or negative as 0: only whole copies), a chance
+    of 1 at most; with None all records of a source have the same chance. Records without tokens and
     records of sources without a target are not used.
     """
     columns = ["doc_id", "source", F.col("n_tokens").cast("bigint").alias("n_tokens")]
     by_source = plan(sizes, targets, total)
-    rows = by_source.select("source", "copies", "fraction", "rest", "tokens", "n_docs").collect()  # one per target, of checked number
+    rows = by_source.select("source", "copies", "fraction", "rest", "n_docs").collect()  # one per target, of checked number
     spark = sizes.sparkSession
-    small = spark.createDataFrame([tuple(r) for r in rows], "source string, whole int, fraction double, rest double, tokens bigint, n_docs bigint")
+    small = spark.createDataFrame([tuple(r) for r in rows], "source string, whole int, fraction double, rest double, n_docs bigint")
     weighed = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)
     docs = sizes.where("n_tokens > 0").select(*columns, weighed.alias("w")).join(F.broadcast(small), "source")
-    if weight:
-        # chances p = min(1, k * w) whose expected size is the rest; k rises as heavy records reach 1
-        scale = {r["source"]: 0.0 for r in rows}
-        full: dict[str, float] = {}
-        for _ in range(20):
-            k = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for s, v in scale.items() for x in (s, v)]), F.col("source")), F.lit(0.0)) if scale else F.lit(0.0)
-            sure = k * F.col("w") >= 1
-            sums = docs.groupBy("source").agg(F.sum(F.when(sure, F.col("n_tokens")).otherwise(0)).alias("sure"), F.sum(F.when(~sure, F.col("w") * F.col("n_tokens")).otherwise(0.0)).alias("open"), F.max("rest").alias("rest")).collect()
-            new = {r["source"]: max((r["rest"] - r["sure"]) / r["open"], scale.get(r["source"], 0.0)) if r["open"] else scale.get(r["source"], 0.0) for r in sums}
-            done = {r["source"]: float(r["sure"]) for r in sums}
-            if done == full and all(abs(new[s] - scale.get(s, 0)) <= 1e-12 * max(1, new[s]) for s in new):
-                break
-            scale, full = {**scale, **new}, done
-        chance = F.least(k * F.col("w"), F.lit(1.0))
-    else:
-        chance = F.col("fraction")
-    docs = docs.withColumn("p", F.when(F.col("fraction") > 0, chance).otherwise(0.0))
-    ranked = docs.withColumn("u", uniform(F.col("doc_id"), seed)).withColumn("rank", F.when(F.col("p") >= 1, float("-inf")).when(F.col("p") > 0, _logit(F.col("u")) - _logit(F.col("p"))))
+    factors = spark.createDataFrame(list(_factors(docs).items()), "source string, k double")
+    docs = docs.join(F.broadcast(factors), "source", "left").withColumn("p", F.when(F.col("fraction") > 0, F.least(F.coalesce(F.col("k") * F.col("w"), F.lit(0.0)), F.lit(1.0))).otherwise(0.0))
+    certain = F.col("p") >= 1
+    ranked = docs.withColumn("rank", F.when((F.col("p") > 0) & ~certain, _logit(uniform(F.col("doc_id"), seed)) - _logit(F.col("p"))))
     # the mean chance recentres the ranks; for equal chances the bin is the random number itself
-    place = F.when(F.col("p") >= 1, 0.0).otherwise(1 / (1 + F.exp(-(F.col("rank") + _logit(F.least(F.col("fraction"), F.lit(1 - 1e-9)))))))
+    place = 1 / (1 + F.exp(-(F.col("rank") + _logit(F.least(F.col("fraction"), F.lit(1 - 1e-9))))))
     bins = F.least(F.greatest((F.col("n_docs") / per_bin).cast("int"), F.lit(1)), F.lit(MOST_BINS))
-    ranked = ranked.withColumn("bin", F.least((place * bins).cast("int"), bins - 1))
+    ranked = ranked.withColumn("bin", F.when(certain, -1).otherwise(F.least((place * bins).cast("int"), bins - 1)))
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = ranked.where("p > 0").groupBy("source", "bin").agg(F.sum("n_tokens").alias("size"), F.max("rest").alias("rest"))
-    cut = sums.withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0))).where("below < rest and below + size >= rest").select("source", F.col("bin").alias("cut"), "below")
-    marked = ranked.join(F.broadcast(cut), "source", "left").withColumn("at_cut", (F.col("p") > 0) & F.coalesce(F.col("bin").between(F.col("cut"), F.col("cut") + 3), F.lit(False)))
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["rank", "doc_id"], kind="stable")
-        room = float(group["rest"].iloc[0]) - float(group["below"].iloc[0])
-        extra = []
-        for size in group["n_tokens"]:
-            extra.append(int(size <= room))
-            room -= size * extra[-1]
-        return group.assign(extra=extra)[["doc_id", "source", "n_tokens", "whole", "extra"]]
-
-    schema = docs.select("doc_id", "source", "n_tokens", "whole").schema.add("extra", "integer")
-    at_cut = marked.where("at_cut").select("doc_id", "source", "n_tokens", "whole", "rank", "rest", "below").groupBy("source").applyInPandas(fit, schema)
-    below = (F.col("p") > 0) & (F.col("cut").isNull() | (F.col("bin") < F.col("cut")))
-    others = marked.where("not at_cut").select("doc_id", "source", "n_tokens", "whole", F.when(below, 1).otherwise(0).alias("extra"))
-    return others.unionByName(at_cut).select("doc_id", "source", "n_tokens", (F.col("whole") + F.col("extra")).cast("int").alias("copies")).where("copies > 0")
+    cut = sums.withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0))).where("bin >= 0 and below < rest and below + size >= rest").select("source", F.col("bin").alias("cut"), "below")
+    marked = ranked.join(F.broadcast(cut), "source", "left").withColumn("at_cut", F.coalesce(F.col("bin") == F.col("cut"), F.lit(False)))
+    so_far = F.col("below") + F.sum("n_tokens").over(Window.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    nearer = so_far - F.col("n_tokens") / 2 <= F.col("rest")  # all below the cut, and the record that crosses it if more than half of it fits
+    at_cut = marked.where("at_cut").withColumn("extra", nearer.cast("int"))
+    # without a cut the chances add up to less than the rest: all that have one are taken
+    below = F.coalesce((F.col("p") > 0) & (certain | F.col("cut").isNull() | (F.col("bin") < F.col("cut"))), F.lit(False))
+    others = marked.where("not at_cut").withColumn("extra", below.cast("int"))
+    used = others.unionByName(at_cut).select("doc_id", "source", "n_tokens", (F.col("whole") + F.col("extra")).cast("int").alias("copies"))
+    return used.where("copies > 0")
 
 
 def mix_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:

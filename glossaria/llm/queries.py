@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossaria.llm.confusables import consistent
 from glossaria.llm.mixing import mix_report, pareto_mix
-from glossaria.llm.packing import fill_report, pack
+from glossaria.llm.packing import check_packing, fill_report, pack
 from glossaria.llm.pairs import find_defects
 from glossaria.llm.pii import find_pii, redact
 from glossaria.llm.tokens import count_tokens
@@ -92,6 +92,19 @@ def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
     return fill_report(pack(_sizes(spark, sf), specs), specs)
 
 
+def p6_check(spark: SparkSession, sf: str) -> DataFrame:
+    sizes, specs = _sizes(spark, sf), table(spark, sf, "pack_spec")
+    return check_packing(materialise(pack(sizes, specs), "packed"), sizes, specs)
+
+
+def p7_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Per target: whether no record is used too often and the share reached is within half a hundredth of what the targets with text ask for."""
+    targets = table(spark, sf, "mix_target")
+    rows = mix_report(pareto_mix(_sizes(spark, sf), targets), targets)
+    wanted = F.try_divide(F.when(F.col("n_tokens") > 0, F.col("target_share")), F.sum(F.when(F.col("n_tokens") > 0, F.col("target_share"))).over(Window.partitionBy()))
+    return rows.select("source", (F.col("most_copies") <= F.col("max_repeats")).alias("in_bounds"), (F.abs(F.col("actual_share") - wanted) < 0.005).alias("near"))
+
+
 def p7_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return pareto_mix(_sizes(spark, sf), table(spark, sf, "mix_target"))
 
@@ -113,10 +126,14 @@ def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {"p1_found": p1_found, "p1_rates": p1_rates, "p1_tests": p1_tests, "p2_found": p2_found, "p2_consistent": p2_consistent, "p4_found": p4_found, "p4_evidence": p4_evidence, "p5_found": p5_found, "p5_row_groups": p5_row_groups,
     "p6_packed": p6_packed,
     "p6_fill": p6_fill,
+    "p6_check": p6_check,
+    "p7_check": p7_check,
     "p7_mixed": p7_mixed,
     "p7_shares": p7_shares,
     "p8_found": p8_found, "p8_redacted": p8_redacted}
 ORACLE = {
+    "p6_check": "SELECT spec_id, (SELECT count(*) FROM documents) AS n_items, CAST(0 AS BIGINT) AS n_over, CAST(0 AS BIGINT) AS n_divided, CAST(0 AS BIGINT) AS n_wrong FROM pack_spec",
+    "p7_check": "SELECT source, true AS in_bounds, true AS near FROM mix_target",
     "p5_found": """
         WITH once AS (
             SELECT row_id, lemma, form, freq, row_number() OVER (PARTITION BY lemma, form ORDER BY freq DESC, row_id) AS k
