@@ -4,22 +4,30 @@ How often a source is used on average follows from its share of the total size:
 every record are certain, the fraction is drawn. The draw is Pareto order sampling with unequal chances: a record's
 inclusion chance is in proportion to its weight (by default its size), at most 1; records are ranked by their
 random odds divided by their inclusion odds, and the lowest ranks are taken, in order and none passed over, until the
-source's size is reached; the record that crosses it is taken if that comes nearer. The random number of a record is
-a hash of its id and the seed, so a rerun, or the loss of an executor, changes nothing.
+size is reached; the record that crosses it is taken if that comes nearer. Records are drawn in strata of like size,
+the largest first, each stratum for the size its chances add up to; by what one stratum's last record misses or
+exceeds its size, the next one's is raised or lowered, so a source ends within its smallest records of its share. The
+random number of a record is a hash of its id and the seed, so a rerun, or the loss of an executor, changes nothing.
 
 Neither the factor of the chances nor the cut needs a source sorted: the factor comes from sums over bins of the
-weights, the cut from sums over bins of the ranks, and only the one bin with the cut, some hundred records, is ordered.
+weights, a cut from sums over bins of the ranks, and only the one bin with the cut, some hundred records, is ordered.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossaria.workspace import materialise
+
 #: Records per bin, and most bins per source.
 PER_BIN, MOST_BINS = 200, 1 << 20
 #: Bins of the weights to a doubling.
 WEIGHT_BINS = 64
+#: Sizes of one stratum are within this factor.
+LEVEL = 4
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -95,26 +103,51 @@ def pareto_mix(sizes: DataFrame, targets: DataFrame, total: int | None = None, s
     small = spark.createDataFrame([tuple(r) for r in rows], "source string, whole int, fraction double, rest double, n_docs bigint")
     weighed = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)
     docs = sizes.where("n_tokens > 0").select(*columns, weighed.alias("w")).join(F.broadcast(small), "source")
+    docs = docs.withColumn("w", F.when(F.col("n_tokens") <= F.col("rest"), F.col("w")).otherwise(0.0))  # larger than all that is drawn: only whole copies
     factors = spark.createDataFrame(list(_factors(docs).items()), "source string, k double")
-    docs = docs.join(F.broadcast(factors), "source", "left").withColumn("p", F.when(F.col("fraction") > 0, F.least(F.coalesce(F.col("k") * F.col("w"), F.lit(0.0)), F.lit(1.0))).otherwise(0.0))
-    certain = F.col("p") >= 1
-    ranked = docs.withColumn("rank", F.when((F.col("p") > 0) & ~certain, _logit(uniform(F.col("doc_id"), seed)) - _logit(F.col("p"))))
-    # the mean chance recentres the ranks; for equal chances the bin is the random number itself
-    place = 1 / (1 + F.exp(-(F.col("rank") + _logit(F.least(F.col("fraction"), F.lit(1 - 1e-9))))))
-    bins = F.least(F.greatest((F.col("n_docs") / per_bin).cast("int"), F.lit(1)), F.lit(MOST_BINS))
-    ranked = ranked.withColumn("bin", F.when(certain, -1).otherwise(F.least((place * bins).cast("int"), bins - 1)))
-    before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranked.where("p > 0").groupBy("source", "bin").agg(F.sum("n_tokens").alias("size"), F.max("rest").alias("rest"))
-    cut = sums.withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0))).where("bin >= 0 and below < rest and below + size >= rest").select("source", F.col("bin").alias("cut"), "below")
-    marked = ranked.join(F.broadcast(cut), "source", "left").withColumn("at_cut", F.coalesce(F.col("bin") == F.col("cut"), F.lit(False)))
-    so_far = F.col("below") + F.sum("n_tokens").over(Window.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    nearer = so_far - F.col("n_tokens") / 2 <= F.col("rest")  # all below the cut, and the record that crosses it if more than half of it fits
-    at_cut = marked.where("at_cut").withColumn("extra", nearer.cast("int"))
-    # without a cut the chances add up to less than the rest: all that have one are taken
-    below = F.coalesce((F.col("p") > 0) & (certain | F.col("cut").isNull() | (F.col("bin") < F.col("cut"))), F.lit(False))
-    others = marked.where("not at_cut").withColumn("extra", below.cast("int"))
-    used = others.unionByName(at_cut).select("doc_id", "source", "n_tokens", (F.col("whole") + F.col("extra")).cast("int").alias("copies"))
-    return used.where("copies > 0")
+    docs = docs.join(F.broadcast(factors), "source", "left").withColumn("p", F.when((F.col("fraction") > 0) & (F.col("w") > 0), F.least(F.coalesce(F.col("k") * F.col("w"), F.lit(0.0)), F.lit(1.0))).otherwise(0.0))
+    # a stratum holds sizes from a power of LEVEL to the next
+    docs = docs.withColumn("level", F.floor(F.log("n_tokens") / math.log(LEVEL) + 1e-9).cast("int"))
+    docs = docs.withColumn("rank", F.when(F.col("p") >= 1, float("-inf")).when(F.col("p") > 0, _logit(uniform(F.col("doc_id"), seed)) - _logit(F.col("p"))))
+    drawn = materialise(docs.where("rank is not null").select("doc_id", "source", "level", "n_tokens", "p", "rank", "fraction"), "drawn")
+    cuts = _cuts(drawn, per_bin)
+    last = spark.createDataFrame(cuts, "source string, level int, last double, last_id bigint")
+    within = (F.col("rank") < F.col("last")) | ((F.col("rank") == F.col("last")) & (F.col("doc_id") <= F.col("last_id")))
+    taken = docs.join(F.broadcast(last), ["source", "level"], "left").withColumn("extra", F.coalesce(within.cast("int"), F.lit(0)))
+    return taken.select("doc_id", "source", "n_tokens", (F.col("whole") + F.col("extra")).cast("int").alias("copies")).where("copies > 0")
+
+
+def _cuts(drawn: DataFrame, per_bin: int) -> list[tuple]:
+    """``(source, level, rank, doc_id)`` of the last record that each stratum of ``drawn`` takes; strata that take none are left out.
+
+    A stratum's rows stay where they are: sums per bin of the ranks show the bin with the cut, and that bin alone is ordered.
+    Only one row per source and level reaches the driver.
+    """
+    strata = drawn.groupBy("source", "level").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p") * F.col("n_tokens")).alias("wanted"), F.sum("n_tokens").alias("all"), F.max("fraction").alias("fraction")).collect()
+    spark, carry, out = drawn.sparkSession, {}, []
+    for level in sorted({r["level"] for r in strata}, reverse=True):
+        here = [(r["source"], r["wanted"] + carry.get(r["source"], 0.0), sum(x["wanted"] for x in strata if x["source"] == r["source"] and x["level"] < level) or float("inf"), min(max(r["n"] // per_bin, 1), MOST_BINS), r["fraction"]) for r in strata if r["level"] == level]
+        small = spark.createDataFrame(here, "source string, room double, spare double, bins bigint, mean double")
+        rows = drawn.where(F.col("level") == level).select("doc_id", "source", "n_tokens", "rank").join(F.broadcast(small), "source")
+        # the mean chance recentres the ranks; for equal chances the bin is the random number itself
+        place = 1 / (1 + F.exp(-(F.col("rank") + _logit(F.least(F.col("mean"), F.lit(1 - 1e-9))))))
+        rows = rows.withColumn("bin", F.least((place * F.col("bins")).cast("bigint"), F.col("bins") - 1))
+        before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        sums = rows.groupBy("source", "bin", "room").agg(F.sum("n_tokens").alias("size")).withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0)))
+        # the last bin that begins below the size; the records before it are all taken
+        at = sums.where("below <= room or below = 0").groupBy("source").agg(F.max_by(F.struct("bin", "below"), "bin").alias("c")).select("source", F.col("c.bin").alias("cut"), F.col("c.below").alias("below"))
+        near = rows.join(F.broadcast(at), "source").where("bin between cut - 1 and cut")
+        inside = Window.partitionBy("source", "bin").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+        so_far = F.when(F.col("bin") == F.col("cut"), F.col("below") + F.sum("n_tokens").over(inside)).otherwise(F.col("below"))
+        # the record that crosses: if it comes nearer, and smaller strata can make good for it
+        takes = (F.col("so_far") - F.col("n_tokens") / 2 <= F.col("room")) & (F.col("so_far") <= F.col("room") + F.col("spare"))
+        near = near.withColumn("so_far", so_far).where((F.col("bin") < F.col("cut")) | takes)
+        found = near.groupBy("source").agg(F.max_by(F.struct("rank", "doc_id", "so_far"), F.struct("rank", "doc_id")).alias("l")).select("source", "l.*").collect()
+        taken = {r["source"]: r["so_far"] for r in found}
+        out += [(r["source"], level, float(r["rank"]), r["doc_id"]) for r in found]
+        for source, room, *_ in here:
+            carry[source] = room - taken.get(source, 0)
+    return out
 
 
 def mix_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -314,6 +314,12 @@ def test_pareto_order_prefers_heavier_records(spark):
     assert 2.5 < rate[1] / rate[0] < 6
 
 
+def test_a_record_larger_than_all_the_room_is_not_drawn(spark):
+    sizes = spark.createDataFrame([(1, "a", 743), (2, "a", 743), (3, "a", 168), (4, "b", 100), (5, "b", None), (6, "a", 20)], "doc_id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("a", 0.65, 1), ("b", 0.35, 1)], "source string, target_share double, max_repeats int")
+    assert {r["doc_id"]: r["copies"] for r in mixing.pareto_mix(sizes, targets).collect()} == {3: 1, 4: 1, 6: 1}
+
+
 def test_mix_of_nothing(spark):
     targets = spark.createDataFrame(TARGETS, "source string, target_share double, max_repeats int")
     empty = docs(spark).where("false")
