@@ -2,7 +2,9 @@
 
 What stands in the line (genitive, principal parts, part of speech) is read in Arrow batches, as joining an
 abbreviated part to its headword has no built-in expression. That gives one row per stem with the name of a
-paradigm; the forms come from a broadcast join with the table of endings, so spreading stays in the JVM.
+paradigm; the forms come from a broadcast join with the table of endings (some thousands of rows, whatever the data),
+so spreading stays in the JVM. There is no shuffle: an ending's readings are merged in that table, and the few forms
+that two paradigms of an article both make are merged where the article is read.
 
 All that an ending's readings depend on (gender, gates, i-stem, locative, voice) is part of the paradigm's name,
 and the table of endings has every variant. Forms are folded: j as i, v as u.
@@ -12,7 +14,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import product
 
 import pandas as pd
@@ -20,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossaria.functions.normalize import PAIRS
-from glossaria.functions.readings import SLOTS, merge_readings
+from glossaria.functions.readings import SLOTS
+from glossaria.operators.skew import spread
 
 Slots = dict[str, str]
 _SLOT = {value: slot for slot, values in SLOTS.items() for value in values}
@@ -379,35 +383,90 @@ def implied(headword: str | None, line: str | None, whole: str | None, endings:
     return [(kind, stem, None) for kind, stem in stems] + [(None, h, r) for r in ["", *(_render(x) for readings in own for x in readings)]]
 
 
+def merged(readings: Iterable[str]) -> str:
+    """As :func:`~glossaria.functions.readings.merge_readings`, for the driver's and the workers' own tables."""
+    sets = {r: set(r.split()) for r in readings if r}
+    return "|".join(sorted(r for r, s in sets.items() if not any(s < o for o in sets.values())))
+
+
+class Endings:
+    """Per paradigm its endings, each with all its readings; and which endings of two paradigms make the same form."""
+
+    def __init__(self, strict_gender: bool = True, limit: int | None = None) -> None:
+        self.of: dict[str, dict[str, list[str]]] = {}
+        for kind, table in paradigms(strict_gender, limit).items():
+            for ending, readings in table:
+                self.of.setdefault(kind, {}).setdefault(ending, []).extend(readings)
+        self.known = {kind: frozenset(table) for kind, table in self.of.items()}
+        self.meet = lru_cache(maxsize=None)(self._meet)
+
+    def _meet(self, kind: str, other: str, more: str) -> list[tuple[str, str]]:
+        """Endings of ``kind`` and of ``other``, whose stem is ``more`` longer, that make the same form."""
+        return [(e, e[len(more) :]) for e in self.of[kind] if e.startswith(more) and e[len(more) :] in self.of[other]]
+
+    def rows(self) -> list[tuple[str, str, str]]:
+        return [(kind, e, merged(readings)) for kind, table in self.of.items() for e, readings in table.items()]
+
+
+def article_rows(headword: str | None, line: str | None, whole: str | None, endings: Endings, strict: bool = True) -> list[tuple[str | None, str, list[str], str]]:
+    """``(kind, stem, skip, cell)``: each paradigm with its stem and the endings it leaves out, and the forms that several make.
+
+    A form that one paradigm alone makes has the cell of its ending. What several make, or what the headword itself is,
+    comes as a row of its own (kind null, the form as stem) with all its readings in one cell, and the paradigms skip it.
+    """
+    parts = implied(headword, line, whole, endings.known, strict)
+    stems = list(dict.fromkeys((kind, stem) for kind, stem, _ in parts if kind))
+    shared: dict[str, set[tuple[int, str]]] = {}
+    own = [(form, reading) for kind, form, reading in parts if kind is None]
+    for form, _ in own:
+        shared[form] = {(i, form[len(stem) :]) for i, (kind, stem) in enumerate(stems) if form.startswith(stem) and form[len(stem) :] in endings.of[kind]}
+    for i, (kind, stem) in enumerate(stems):
+        for j, (other, longer) in enumerate(stems):
+            if i != j and longer.startswith(stem) and (len(longer) > len(stem) or i < j):
+                for e, rest in endings.meet(kind, other, longer[len(stem) :]):
+                    shared.setdefault(stem + e, set()).update({(i, e), (j, rest)})
+    skip: list[list[str]] = [[] for _ in stems]
+    rows: list[tuple[str | None, str, list[str], str]] = []
+    for form, makers in shared.items():
+        readings = [r for i, e in makers for r in endings.of[stems[i][0]][e]] + [r for f, r in own if f == form and r]
+        rows.append((None, form, [], merged(readings)))
+        for i, e in makers:
+            skip[i].append(e)
+    return rows + [(kind, stem, skip[i], "") for i, (kind, stem) in enumerate(stems)]
+
+
 def endings_table(spark: SparkSession, strict_gender: bool = True, limit: int | None = None) -> DataFrame:
-    """``(kind, ending, readings)``: some thousands of rows, whatever the data."""
-    rows = [(kind, e, readings) for kind, table in paradigms(strict_gender, limit).items() for e, readings in table]
-    return spark.createDataFrame(rows, "kind string, ending string, readings array<string>")
+    """``(kind, ending, cell)``: some thousands of rows, whatever the data."""
+    return spark.createDataFrame(Endings(strict_gender, limit).rows(), "kind string, ending string, cell string")
 
 
-def readings(entries: DataFrame, strict_gender: bool = True, limit: int | None = None, line_chars: int = 200) -> DataFrame:
-    """``(idx, kind, form, readings)`` of ``(idx, headword, body)``; the kind is null for the headword itself. Forms have 2 to 24 letters.
+def forms_by_kind(entries: DataFrame, strict_gender: bool = True, limit: int | None = None, line_chars: int = 200) -> DataFrame:
+    """``(idx, kind, form, cell)`` of ``(idx, headword, body)``; the kind is null for headwords and forms that several paradigms make. Forms have 2 to 24 letters.
 
-    With ``strict_gender`` off an ending may contradict the article's gender: for words that other articles share.
+    Readings are merged in the table of endings and, for the few forms that meet, with the article in hand, so each
+    form of an article comes out once and nothing is shuffled. With ``strict_gender`` off an ending may contradict the
+    article's gender: for words that other articles share.
     """
-    known = {kind: frozenset(e for e, _ in table) for kind, table in paradigms(strict_gender, limit).items()}
+    endings = Endings(strict_gender, limit)
+    tables = (strict_gender, limit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        endings = Endings(*tables)
         for batch in batches:
             rows = [
                 (i, *part)
                 for i, h, b in zip(batch["idx"], batch["headword"], batch["body"], strict=True)
-                for part in implied(h, b[:line_chars] if b else b, b, known, strict_gender)
+                for part in article_rows(h, b[:line_chars] if b else b, b, endings, strict_gender)
             ]
-            yield pd.DataFrame(rows, columns=["idx", "kind", "stem", "own"])
+            yield pd.DataFrame(rows, columns=["idx", "kind", "stem", "skip", "own"])
 
-    stems = entries.select(F.col("idx").cast("bigint").alias("idx"), "headword", "body").mapInPandas(run, "idx bigint, kind string, stem string, own string")
-    rows = stems.join(F.broadcast(endings_table(entries.sparkSession, strict_gender, limit)), "kind", "left").where("kind is null or ending is not null")
+    rows = spread(entries.select(F.col("idx").cast("bigint").alias("idx"), "headword", "body"), "idx").mapInPandas(run, "idx bigint, kind string, stem string, skip array<string>, own string")
+    table = entries.sparkSession.createDataFrame(endings.rows(), "kind string, ending string, cell string")
+    made = rows.join(F.broadcast(table), "kind", "left").where("kind is null or (ending is not null and not array_contains(skip, ending))")
     form = F.concat("stem", F.coalesce("ending", F.lit("")))
-    return rows.select("idx", "kind", form.alias("form"), F.coalesce("readings", F.array("own")).alias("readings")).where("length(form) between 2 and 24")
+    return made.select("idx", "kind", form.alias("form"), F.coalesce("cell", "own").alias("cell")).where("length(form) between 2 and 24")
 
 
 def inflect(entries: DataFrame, strict_gender: bool = True, limit: int | None = None, line_chars: int = 200) -> DataFrame:
     """``(idx, form, cell)``: every folded form an article implies with all its readings in one cell, empty where nothing is known."""
-    forms = readings(entries, strict_gender, limit, line_chars).groupBy("idx", "form").agg(F.array_distinct(F.flatten(F.collect_set("readings"))).alias("r"))
-    return forms.select("idx", "form", merge_readings(F.col("r")).alias("cell"))
+    return forms_by_kind(entries, strict_gender, limit, line_chars).select("idx", "form", "cell")

@@ -1,8 +1,9 @@
-"""Inflected forms by rule: entries meet a small table of endings in a broadcast join.
+"""Inflected forms of regular classes by rule: entries meet a small table of endings in a broadcast join.
 
 The table is made from the grammar's parts (theme, tense sign, personal ending), not listed form by form.
-Spreading an entry to its hundred forms happens in the JVM, right after the join, without a shuffle; only
-the cells with several readings are gathered, per entry and form.
+An entry has one class, so two of its forms are equal only if their endings are: readings are merged per class and
+ending in the table, on the driver. Spreading an entry to its hundred forms then is one projection
+after the join, without a shuffle.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossaria.functions.normalize import fold, letters
-from glossaria.functions.readings import merge_readings
+from glossaria.functions.normalize import letters
+from glossaria.operators.inflection import merged
+from glossaria.operators.skew import spread
 
 # Noun endings by declension; per case the singular and the plural ending.
 CASES = "nom gen dat acc abl voc".split()
@@ -85,23 +87,26 @@ CLASSES = [
 
 
 def rules_table(spark: SparkSession) -> DataFrame:
-    """``(class, ending, reading)``: some hundreds of rows, whatever the data."""
-    return spark.createDataFrame(noun_rules() + verb_rules(), "class string, ending string, reading string")
+    """``(class, ending, cell)``: some hundreds of rows, whatever the data; endings are folded, their readings merged."""
+    cells: dict[tuple[str, str], list[str]] = {}
+    for kind, ending, reading in noun_rules() + verb_rules():
+        cells.setdefault((kind, ending.replace("j", "i").replace("v", "u")), []).append(reading)
+    return spark.createDataFrame([(kind, ending, merged(readings)) for (kind, ending), readings in cells.items()], "class string, ending string, cell string")
 
 
 def stems(entries: DataFrame) -> DataFrame:
-    """``(idx, class, stem)`` of ``(idx, headword, body)``; entries of no class, or whose headword doesn't fit it, have no forms."""
-    head = letters(F.col("headword"))
+    """``(idx, class, stem)`` of ``(idx, headword, body)``, stems folded; entries of no class, or whose headword doesn't fit it, have no forms."""
+    rows = spread(entries.select("idx", "headword", F.substring("body", 1, 120).alias("line")), "idx")
+    rows = rows.select("idx", "line", letters(F.col("headword")).alias("head"))
     kind, stem = F.lit(None).cast("string"), F.lit(None).cast("string")
     for name, pattern, ending in reversed(CLASSES):
-        fits = F.substring("body", 1, 120).rlike(pattern) & head.endswith(ending)
+        fits = F.col("line").rlike(pattern) & F.col("head").endswith(ending)
         kind = F.when(fits, name).otherwise(kind)
-        stem = F.when(fits, F.substring(head, F.lit(1), F.length(head) - len(ending))).otherwise(stem)
-    return entries.select("idx", kind.alias("class"), stem.alias("stem")).where("class is not null and length(stem) > 0")
+        stem = F.when(fits, F.substring("head", F.lit(1), F.length("head") - len(ending))).otherwise(stem)
+    return rows.select("idx", kind.alias("class"), F.translate(stem, "jv", "iu").alias("stem")).where("class is not null and length(stem) > 0")
 
 
 def expand(entries: DataFrame) -> DataFrame:
-    """``(idx, form, cell)``: every folded form of an entry of 2 to 24 letters with all its readings in one cell."""
+    """``(idx, class, form, cell)``: every folded form of an entry of 2 to 24 letters with all its readings in one cell."""
     rows = stems(entries).join(F.broadcast(rules_table(entries.sparkSession)), "class")
-    forms = rows.select("idx", fold(F.concat("stem", "ending")).alias("form"), "reading").where("length(form) between 2 and 24")
-    return forms.groupBy("idx", "form").agg(F.collect_set("reading").alias("r")).select("idx", "form", merge_readings(F.col("r")).alias("cell"))
+    return rows.select("idx", "class", F.concat("stem", "ending").alias("form"), "cell").where("length(form) between 2 and 24")

@@ -17,10 +17,11 @@ def numbered_names(df: DataFrame, by: str, order: list[Column], name: str = "nam
     return df.withColumn("rank", rank).withColumn(name, F.concat(F.col(by), F.when(F.col("rank") > 1, F.col("rank").cast("string")).otherwise("")))
 
 
-def keep_best(df: DataFrame, by: list[str], score: str, arrival: str, values: list[str]) -> DataFrame:
-    """Per group the values of the greatest score; of equals the one that arrived first."""
+def keep_best(df: DataFrame, by: list[str], score: str, arrival: str, values: list[str], *more: Column) -> DataFrame:
+    """Per group the values of the greatest score, of equals the one that arrived first; ``more`` are further aggregates of the group."""
     best = F.max_by(F.struct(*values, score), F.struct(F.col(score), -F.col(arrival)))
-    return df.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
+    rows = df.groupBy(*by).agg(best.alias("b"), *more)
+    return rows.select(*by, "b.*", *[c for c in rows.columns if c not in (*by, "b")])
 
 
 def frequency_weight(n: Column) -> Column:

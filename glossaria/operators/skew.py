@@ -30,6 +30,12 @@ def salted_join(rows: DataFrame, other: DataFrame, keys: list[str], how: str = "
     return rows.withColumn("_salt", salt(parts)).join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores if it has fewer partitions than there are cores: for small inputs that become large on the way."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_hashes(counts: DataFrame, keys: list[str], n: str = "n", parts: int = 256, least_rows: int = 10_000) -> list[int]:
     """Hashes of the key values that hold at least ``1 / parts`` of all rows, and ``least_rows``, by ``counts``: at most ``parts``.
 

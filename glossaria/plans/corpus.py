@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from glossaria.functions import normalize as N
 from glossaria.functions import text as T
 from glossaria.functions.readings import merge_readings, reading_class, tag_reading
+from glossaria.operators.skew import spread
 from glossaria.tables import table
 
 TOKEN = r"[\p{L}\p{M}]+"
@@ -15,14 +16,14 @@ TOKEN = r"[\p{L}\p{M}]+"
 
 def corpus_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """``(source, form)``: folded tokens of all documents; tokens without a letter a-z are dropped."""
-    docs = table(spark, sf, "documents", "source", "text")
+    docs = spread(table(spark, sf, "documents", "doc_id", "source", "text"), "doc_id")
     tokens = docs.select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))).alias("token"))
     return tokens.select("source", N.fold(F.col("token")).alias("form")).where("form != ''")
 
 
 def form_counts(spark: SparkSession, sf: str) -> DataFrame:
     # counted by token first: the fold then runs once per distinct token
-    docs = table(spark, sf, "documents", "text")
+    docs = spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id")
     tokens = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return tokens.groupBy(N.fold(F.col("token")).alias("form")).agg(F.sum("n").alias("n")).where("form != ''")
 
@@ -108,7 +109,9 @@ def known_forms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weighted_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    counts = corpus_tokens(spark, sf).groupBy("source", "form").agg(F.count(F.lit(1)).alias("n"))
+    docs = spread(table(spark, sf, "documents", "doc_id", "source", "text"), "doc_id")
+    tokens = docs.select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))).alias("token")).groupBy("source", "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = tokens.groupBy("source", N.fold(F.col("token")).alias("form")).agg(F.sum("n").alias("n")).where("form != ''")
     known = known_forms(spark, sf).withColumn("known", F.lit(1))
     joined = counts.join(known, "form", "left")
     by = joined.groupBy("source").agg(F.sum("n").alias("tokens"), F.coalesce(F.sum(F.when(F.col("known") == 1, F.col("n"))), F.lit(0)).alias("covered"), F.count(F.lit(1)).alias("forms"))
@@ -143,17 +146,22 @@ def source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return n.select("source", "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6).alias("share"))
 
 
-def grounding_score(spark: SparkSession, sf: str) -> DataFrame:
-    from glossaria.functions.quality import grounding
+def grounded_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """``(rec_id, i, p, g, raw)``: answers with the share of their words that their article grounds; articles are stemmed before the join."""
+    from glossaria.functions.quality import grounding, known_stems
+
+    answers = table(spark, sf, "freqfix_fw_headings2_ckpt", "rec_id", "i", "p", "g").where("g is not null")
+    articles = spread(table(spark, sf, "entry", "idx", "body"), "idx").select("idx", known_stems(F.col("body")).alias("stems"))
+    return answers.join(articles, answers["i"] == articles["idx"]).select("rec_id", "i", "p", "g", grounding(F.col("g"), F.col("stems")).alias("raw"))
 
-    answers = table(spark, sf, "freqfix_fw_headings2_ckpt", "rec_id", "i", "g").where("g is not null")
-    articles = table(spark, sf, "entry", "idx", "body")
-    return answers.join(articles, answers["i"] == articles["idx"]).select("rec_id", F.round(grounding(F.col("g"), F.col("body")), 6).alias("grounding"))
+
+def grounding_score(spark: SparkSession, sf: str) -> DataFrame:
+    return grounded_answers(spark, sf).select("rec_id", F.round("raw", 6).alias("grounding"))
 
 
 def length_by_pass(spark: SparkSession, sf: str) -> DataFrame:
     """Conditional means: words per answer, and of grounded and other answers, by pass with at least 20 answers."""
-    scored = grounding_score(spark, sf).join(table(spark, sf, "freqfix_fw_headings2_ckpt", "rec_id", "p", "g"), "rec_id")
+    scored = grounded_answers(spark, sf).withColumn("grounding", F.round("raw", 6))
     n = F.size(T.words(F.col("g")))
     by = scored.groupBy("p").agg(
         F.count(F.lit(1)).alias("n"),

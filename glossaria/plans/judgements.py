@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossaria.functions import normalize as N
@@ -12,8 +12,9 @@ from glossaria.functions.readings import cell_state, merge_readings, tag_reading
 from glossaria.operators import checkpoint, diffing, judging, sampling
 from glossaria.operators.pointers import function_words as find_function_words
 from glossaria.operators.pointers import inherit_rejection, last_targets
-from glossaria.plans.corpus import _TREEBANK, _WORDS, _sql_reading, doc_frequency_vocab, treebank
+from glossaria.plans.corpus import _TREEBANK, _WORDS, _sql_reading, doc_frequency_vocab, grounded_answers, treebank
 from glossaria.plans.lexicon import pointer_edges
+from glossaria.operators.skew import spread
 from glossaria.tables import table
 from glossaria.workspace import materialise
 
@@ -45,9 +46,9 @@ def resume_todo(spark: SparkSession, sf: str) -> DataFrame:
 
 def _judges(spark: SparkSession, sf: str) -> DataFrame:
     """Two judges' scores made from answers: by grounding in the article, and by length."""
-    rows = _answers(spark, sf).select("rec_id", "i", "g", "p").where("g is not null").join(table(spark, sf, "entry", "idx", "body"), F.col("i") == F.col("idx"))
+    rows = grounded_answers(spark, sf)
     n = F.size(T.words(F.col("g")))
-    a = F.round(Q.grounding(F.col("g"), F.col("body")) * 5).cast("int")
+    a = F.round(F.col("raw") * 5).cast("int")
     b = F.when(n > 0, F.least(F.lit(5), F.greatest(F.lit(0), 6 - n))).cast("int")
     return rows.select("rec_id", "i", "p", a.alias("a"), b.alias("b"))
 
@@ -127,9 +128,9 @@ def glosses_with_reasons(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lemma_map", "key", "headword", "gloss", "source", "freq").where("key is not null")
     distinct = rows.groupBy("key", "headword", "gloss", "source").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("freq"), F.lit(0)).alias("freq"))
     uses = doc_frequency_vocab(spark, sf).select(F.col("word").alias("_w"), F.col("n_entries").alias("uses"))
-    bodies = table(spark, sf, "entry", "key", "body").groupBy("key").agg(F.min("body").alias("body"))
+    bodies = table(spark, sf, "entry", "key", "body").groupBy("key").agg(F.min("body").alias("body")).withColumn("stems", Q.known_stems(F.col("body")))
     joined = distinct.join(bodies, "key", "left").join(uses, N.letters(F.col("headword")) == F.col("_w"), "left")
-    return joined.withColumn("reasons", Q.reasons(F.col("headword"), F.col("gloss"), F.col("source"), F.col("body"), F.col("uses")))
+    return joined.withColumn("reasons", Q.reasons(F.col("headword"), F.col("gloss"), F.col("source"), F.col("body"), F.col("uses"), F.col("stems"))).drop("stems")
 
 
 def defect_reasons(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,9 +195,16 @@ def best_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 def budgeted_lines(spark: SparkSession, sf: str, budget: int = 900) -> DataFrame:
     """Lines of a text from its beginning while they fit a budget of characters; the first that doesn't ends it."""
-    lines = table(spark, sf, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    so_far = F.sum(F.length("line")).over(Window.partitionBy("doc_id").orderBy("pos"))
-    return lines.withColumn("so_far", so_far).where(F.col("so_far") <= budget).groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.max("so_far").alias("chars"))
+    docs = spread(table(spark, sf, "documents", "doc_id", "text"), "doc_id")
+
+    def add(acc: Column, line: Column) -> Column:
+        chars = acc["chars"] + F.length(line)
+        over = acc["over"] | (chars > budget)
+        return F.struct(F.when(over, acc["lines"]).otherwise(acc["lines"] + 1).alias("lines"), F.when(over, acc["chars"]).otherwise(chars).alias("chars"), over.alias("over"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("lines"), F.lit(0).cast("bigint").alias("chars"), F.lit(False).alias("over"))
+    kept = F.aggregate(F.split("text", "\n"), start, add)
+    return docs.where("text is not null").select("doc_id", kept.alias("k")).select("doc_id", "k.lines", "k.chars").where("lines > 0")
 
 
 def _snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

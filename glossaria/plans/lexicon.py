@@ -32,9 +32,7 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     total = lines.where("origin = 'treebank'").groupBy("form").agg(F.sum("k").alias("total"))
     lines = lines.join(total, "form", "left")
     scored = lines.withColumn("conf", F.round(confidence(F.col("origin"), F.col("k") / F.col("total"), F.col("form"), F.col("freq")), 9))
-    best = keep_best(scored, ["form", "lemma"], "conf", "ord", ["ord", "origin"])
-    support = scored.groupBy("form", "lemma").agg(F.sum("k").alias("support"))
-    return best.join(support, ["form", "lemma"])
+    return keep_best(scored, ["form", "lemma"], "conf", "ord", ["ord", "origin"], F.sum("k").alias("support"))
 
 
 _CANDIDATES = f"""
@@ -70,7 +68,7 @@ def candidate_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def enclitic_split(spark: SparkSession, sf: str) -> DataFrame:
     """Forms that split into a host that is itself a form, and are no headword: ``(form, host, enclitic)``."""
-    forms = known_forms(spark, sf)
+    forms = materialise(known_forms(spark, sf), "forms")  # read twice, and its fold would else be copied into every branch of the split
     host, name = T.split_enclitic(F.col("form"))
     split = forms.select("form", host.alias("host"), name.alias("enclitic")).where("enclitic != ''")
     heads = table(spark, sf, "entry", "headword").select(N.fold(F.col("headword")).alias("form")).distinct()
