@@ -10,6 +10,7 @@ from glossaria.functions import text as T
 from glossaria.functions.readings import merge_readings, reading_class, tag_reading
 from glossaria.operators.skew import spread
 from glossaria.tables import table
+from glossaria.workspace import materialise
 
 TOKEN = r"[\p{L}\p{M}]+"
 
@@ -30,7 +31,7 @@ def form_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_freq(spark: SparkSession, sf: str, least: int = 1) -> DataFrame:
     """``(form, n, share)`` of the forms that occur at least ``least`` times; the share is of all tokens, whatever ``least`` is."""
-    counts = form_counts(spark, sf)
+    counts = materialise(form_counts(spark, sf), "counts")  # read for the rows and for their total
     # the total as a scalar subquery: a window over everything would gather all forms in one task
     return spark.sql("SELECT form, n, round(n / (SELECT sum(n) FROM {counts}), 9) AS share FROM {counts} WHERE n >= {least}", counts=counts, least=least)
 
