@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ["references", "corpus", "lexicon", "judgements", "paradigms", "warehouse", "streams", "articles"]
+MODULES = ["references", "corpus", "lexicon", "judgements", "paradigms", "warehouse", "streams", "articles", "package"]
 
 
 def _all(what: str) -> dict:
