@@ -9,7 +9,7 @@ from glossaria.functions import names as P
 from glossaria.tables import table
 
 
-def _marked() -> Column:
+def marked() -> Column:
     """The body as markup: the headword line, then a sense per part, its text in italics."""
     body = F.col("body")
     line = F.regexp_extract(body, r"^(.*?(?:[mfn]|comm|dep|a)\. )", 1)
@@ -19,13 +19,13 @@ def _marked() -> Column:
 
 
 def name_glosses(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "entry", "idx", "headword", "body").where(P.is_name(F.col("headword"))).withColumn("xml", _marked())
+    e = table(spark, sf, "entry", "idx", "headword", "body").where(P.is_name(F.col("headword"))).withColumn("xml", marked())
     e = e.withColumn("definition", P.name_definition(F.col("xml"), F.col("headword")))
     return e.select("idx", "definition", P.name_clean(F.col("definition"), F.col("headword")).alias("gloss"))
 
 
 def sense_lines(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "entry", "idx", "body").withColumn("xml", _marked())
+    e = table(spark, sf, "entry", "idx", "body").withColumn("xml", marked())
     return e.select("idx", P.sense_lines(F.col("xml")).alias("outline"))
 
 

@@ -9,11 +9,13 @@ from glossaria.functions import normalize as N
 from glossaria.functions import quality as Q
 from glossaria.functions import text as T
 from glossaria.functions.readings import cell_state, merge_readings, tag_reading
-from glossaria.operators import checkpoint, diffing, judging, sampling
+from glossaria.functions import names
+from glossaria.operators import checkpoint, diffing, judging, sampling, stages
 from glossaria.operators.pointers import function_words as find_function_words
 from glossaria.operators.pointers import inherit_rejection, last_targets
+from glossaria.plans import articles
 from glossaria.plans.corpus import _TREEBANK, _WORDS, _sql_reading, doc_frequency_vocab, grounded_answers, treebank
-from glossaria.plans.lexicon import pointer_edges
+from glossaria.plans.lexicon import _EDGES, pointer_edges
 from glossaria.operators.skew import spread
 from glossaria.tables import table
 from glossaria.workspace import materialise
@@ -169,6 +171,57 @@ def function_words(spark: SparkSession, sf: str) -> DataFrame:
     return find_function_words(entries, targets)
 
 
+def _first_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries with the log's answers taken in stages: main, retry for those that decline, name for those that echo; then over pointers."""
+    entries = table(spark, sf, "entry", "idx", "key", "headword", "body")
+    log = _answers(spark, sf).select(F.col("i").alias("idx"), F.coalesce("p", F.lit("main")).alias("p"), F.col("g").alias("answer"), F.col("rec_id").alias("at"))
+    rows = stages.classify(entries).join(stages.answers_by_pass(log, ["main", "retry", "name", "hard"]), "idx", "left")
+    return stages.first_answers(rows, F.col("main"), F.col("retry"), name=F.col("name"))
+
+
+def _take_over(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
+    short = table(spark, sf, "entry", "idx", "body").where("length(body) < 200").select(F.col("idx").alias("node"))
+    return stages.inherited(rows, last_targets(materialise(pointer_edges(spark, sf), "edges"), short))
+
+
+def stage_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources and glosses after the first stages, the taking over along pointers and the grounding mark."""
+    rows = materialise(_first_stages(spark, sf).select("idx", "headword", "body", "gloss", "source"), "first-stages")
+    rows = _take_over(spark, sf, rows)
+    rows = stages.grounded(rows, Q.grounding(F.col("gloss"), Q.known_stems(F.col("body"))))
+    return rows.select("idx", "gloss", "source")
+
+
+def staged_glosses(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole chain: first answers, own words of names, suspects re-glossed, pointers, adaptation, grounding, cleaning, second screen, carry-over.
+
+    The main answers of articles that were asked again later stand for the adapted ones, the repairs of an earlier build are the lemma map's last glosses of one feed.
+    """
+    uses = doc_frequency_vocab(spark, sf).select(F.col("word").alias("_w"), F.col("n_entries").alias("uses"))
+    rows = _first_stages(spark, sf)
+    rows = stages.own_words(rows, names.name_definition(articles.marked(), F.col("headword")))
+    rows = rows.withColumn("stems", Q.known_stems(F.col("body"))).join(uses, N.letters(F.col("headword")) == F.col("_w"), "left").drop("_w")
+    rows = materialise(rows, "own-words")
+    rows = materialise(stages.reglossed(rows, F.col("hard"), F.col("uses"), "hard", F.col("stems")), "reglossed")
+    rows = stages.adapted(_take_over(spark, sf, rows), F.col("main"))
+    rows = stages.grounded(rows, Q.grounding(F.col("gloss"), F.col("stems")))
+    rows = stages.finalised(rows, F.col("uses"))
+    rows = materialise(stages.reglossed(rows, F.col("hard"), F.col("uses"), "hard2", F.col("stems")), "screened")
+    rows = stages.finalised(rows, F.col("uses"))
+    m = table(spark, sf, "lemma_map", "row_id", "key", "gloss", "source").where("source = 'handlist' and key is not null").groupBy("key").agg(F.max_by("gloss", "row_id").alias("gloss"))
+    earlier = m.join(table(spark, sf, "entry", "idx", "key"), "key").select("idx", "gloss", F.lit("freqfix").alias("source"))
+    return stages.carry_over(rows, earlier).select("idx", "gloss", "source")
+
+
+def refinalised(spark: SparkSession, sf: str) -> DataFrame:
+    """Lemma-map glosses finalised once more, without the echo rule: ``(gloss, new)`` of those that change."""
+    rows = table(spark, sf, "lemma_map", "key", "headword", "gloss", "source").where("gloss is not null and key is not null").distinct()
+    bodies = table(spark, sf, "entry", "key", "body").groupBy("key").agg(F.min("body").alias("body"))
+    rows = rows.join(bodies, "key").withColumn("before", F.col("gloss"))
+    done = stages.finalised(rows)
+    return done.where("gloss != before").select("key", "headword", F.col("before").alias("gloss"), F.col("gloss").alias("new"), "source").distinct()
+
+
 def clean_glosses(spark: SparkSession, sf: str) -> DataFrame:
     return T.enforce_cap(T.clean_glosses(_answers(spark, sf).select("rec_id", F.col("g").alias("gloss")), "gloss"), "gloss")
 
@@ -286,6 +339,9 @@ QUERIES = {
     "defect_reasons": defect_reasons,
     "ship_filter": ship_filter,
     "function_words": function_words,
+    "stage_marks": stage_marks,
+    "staged_glosses": staged_glosses,
+    "refinalised": refinalised,
     "clean_glosses": clean_glosses,
     "synonym_packing": synonym_packing,
     "ngram_collapse": ngram_collapse,
@@ -309,7 +365,29 @@ _COLLAPSE = " ".join(
     f"WHEN len(list_filter(range(1, len(w) - {2 * n} + 2), lambda i: w[i:i + {n - 1}] = w[i + {n}:i + {2 * n - 1}])) > 0 THEN array_to_string(w[1:list_filter(range(1, len(w) - {2 * n} + 2), lambda i: w[i:i + {n - 1}] = w[i + {n}:i + {2 * n - 1}])[1] + {n - 1}], ' ')"
     for n in range(1, 9)
 )
+_STOPS = "[" + ", ".join(f"'{w}'" for w in Q.STOP_WORDS) + "]"
+_STEMMED = f"list_transform(list_filter(string_split(regexp_replace(TEXT, '[^a-z ]', ' ', 'g'), ' '), lambda w: length(w) > 2 AND NOT list_contains({_STOPS}, w)), lambda w: substr(w, 1, greatest(4, length(w) - 2)))"
+_ECHO = "(len(PARTS) > 0 AND h <> '' AND len(list_filter(PARTS, lambda p: NOT (p.l = h OR list_contains(['ae','i','is','us','um','a','onis','ei','n','m','f','entis','atis','inis'], lower(p.t))))) = 0)"
+_PARTS_OF = "list_transform(list_filter(list_transform(string_split(regexp_replace(GLOSS, ';', ',', 'g'), ','), lambda p: trim(p)), lambda p: p <> ''), lambda p: {'t': p, 'l': " + N.sql_letters("p") + "})"
 ORACLE = {
+    "stage_marks": f"""
+        WITH RECURSIVE {_EDGES}, short AS (SELECT idx AS node FROM entry WHERE length(body) < 200),
+        walk AS (SELECT src, dst AS node_at, [src, dst] AS path, 1 AS hops FROM edges WHERE src IN (SELECT node FROM short)
+                 UNION ALL SELECT w.src, e.dst, list_append(w.path, e.dst), w.hops + 1 FROM walk w JOIN edges e ON w.node_at = e.src WHERE w.hops < 4 AND w.node_at IN (SELECT node FROM short) AND NOT list_contains(w.path, e.dst)),
+        target AS (SELECT src, arg_max(node_at, hops) AS dst FROM walk GROUP BY src),
+        a AS (SELECT i AS idx, arg_max(g, rec_id) FILTER (coalesce(p, 'main') = 'main') AS m, arg_max(g, rec_id) FILTER (p = 'retry') AS r, arg_max(g, rec_id) FILTER (p = 'name') AS n FROM freqfix_fw_headings2_ckpt WHERE trim(g) <> '' GROUP BY i),
+        s0 AS (SELECT e.idx, headword, body, {N.sql_letters("headword")} AS h, m, r, n,
+                      length(body) <= 160 AND NOT regexp_matches(body, '(?i)\\bv\\.\\s+(freq|dep|a|n|impers|inch|intens|defect)\\b') AND regexp_matches(body, '(?i)[,;]\\s*(v\\.?|vide)\\s+([0-9]+\\.?\\s*)?[A-Za-zÀ-ɏ''-]+\\s*\\.?\\s*$') AS pointer
+               FROM entry e LEFT JOIN a ON a.idx = e.idx),
+        s1 AS (SELECT *, CASE WHEN pointer THEN 'xref' ELSE 'model' END AS s, CASE WHEN pointer THEN '' ELSE coalesce(m, '') END AS g FROM s0),
+        s2 AS (SELECT * REPLACE (CASE WHEN s = 'model' AND upper(trim(g)) IN ('XREF', 'NONE', '') AND r IS NOT NULL THEN 'repaired' ELSE s END AS s, CASE WHEN s = 'model' AND upper(trim(g)) IN ('XREF', 'NONE', '') AND r IS NOT NULL THEN r ELSE g END AS g) FROM s1),
+        p2 AS (SELECT *, {_PARTS_OF.replace('GLOSS', 'g')} AS gp, {_PARTS_OF.replace('GLOSS', "coalesce(n, '')")} AS np FROM s2),
+        e2 AS (SELECT *, s IN ('model', 'repaired') AND {_ECHO.replace('PARTS', 'gp')} AND n IS NOT NULL AND upper(trim(n)) NOT IN ('XREF', 'NONE') AND NOT {_ECHO.replace('PARTS', 'np')} AS named FROM p2),
+        s3 AS (SELECT idx, body, CASE WHEN named THEN 'named' ELSE s END AS s, CASE WHEN named THEN n ELSE g END AS g FROM e2),
+        s4 AS (SELECT x.idx, x.body, CASE WHEN NOT asks THEN x.s WHEN coalesce(trim(y.g), '') <> '' THEN 'xref-resolved' ELSE 'no-gloss' END AS s, CASE WHEN NOT asks THEN x.g WHEN coalesce(trim(y.g), '') <> '' THEN y.g ELSE '' END AS g
+               FROM (SELECT *, s = 'xref' OR upper(trim(g)) IN ('XREF', 'NONE') AS asks FROM s3) x LEFT JOIN target t ON t.src = x.idx LEFT JOIN s3 y ON y.idx = t.dst),
+        stemmed AS (SELECT *, {_STEMMED.replace('TEXT', N.sql_strip_accents('g'))} AS gs, {_STEMMED.replace('TEXT', N.sql_strip_accents('body'))} AS bs FROM s4)
+        SELECT idx, g AS gloss, s || CASE WHEN s IN ('model', 'repaired', 'named') AND trim(g) <> '' AND len(gs) > 0 AND len(list_filter(gs, lambda w: list_contains(bs, w))) = 0 THEN '?' ELSE '' END AS source FROM stemmed""",
     "latest_wins_log": "SELECT p, i, rec_id, g, off FROM (SELECT coalesce(p, 'main') AS p, i, rec_id, g, CAST(coalesce(off, -1) AS BIGINT) AS off, row_number() OVER (PARTITION BY coalesce(p, 'main'), i ORDER BY rec_id DESC) AS r FROM freqfix_fw_headings2_ckpt WHERE trim(g) <> '') x WHERE r = 1",
     "stale_records": "SELECT logged_at >= added_at AS valid, count(*) AS n FROM (SELECT i, arg_max(logged_at, rec_id) AS logged_at FROM freqfix_fw_headings2_ckpt WHERE g IS NOT NULL GROUP BY i) l JOIN entry e ON l.i = e.idx GROUP BY ALL",
     "resume_todo": "SELECT idx AS i FROM entry WHERE removed_at IS NULL AND idx NOT IN (SELECT i FROM freqfix_fw_headings2_ckpt WHERE trim(g) <> '' AND i IS NOT NULL)",
