@@ -198,10 +198,12 @@ def staged_glosses(spark: SparkSession, sf: str) -> DataFrame:
     The main answers of articles that were asked again later stand for the adapted ones, the repairs of an earlier build are the lemma map's last glosses of one feed.
     """
     uses = doc_frequency_vocab(spark, sf).select(F.col("word").alias("_w"), F.col("n_entries").alias("uses"))
-    rows = _first_stages(spark, sf)
-    rows = stages.own_words(rows, names.name_definition(articles.marked(), F.col("headword")))
+    # names only, and written before anything is decided on it: the definition is a long expression
+    named = table(spark, sf, "entry", "idx", "headword", "body").where(names.is_name(F.col("headword"))).select("idx", names.name_definition(articles.marked(), F.col("headword")).alias("own"))
+    rows = _first_stages(spark, sf).join(materialise(named, "own-words"), "idx", "left")
+    rows = stages.own_words(rows, F.col("own")).drop("own")
     rows = rows.withColumn("stems", Q.known_stems(F.col("body"))).join(uses, N.letters(F.col("headword")) == F.col("_w"), "left").drop("_w")
-    rows = materialise(rows, "own-words")
+    rows = materialise(rows, "first-stages")
     rows = materialise(stages.reglossed(rows, F.col("hard"), F.col("uses"), "hard", F.col("stems")), "reglossed")
     rows = stages.adapted(_take_over(spark, sf, rows), F.col("main"))
     rows = stages.grounded(rows, Q.grounding(F.col("gloss"), F.col("stems")))
