@@ -14,7 +14,8 @@ from glossaria.operators import checkpoint, diffing, judging, sampling, stages
 from glossaria.operators.pointers import function_words as find_function_words
 from glossaria.operators.pointers import inherit_rejection, last_targets
 from glossaria.plans import articles
-from glossaria.plans.corpus import _TREEBANK, _WORDS, _sql_reading, doc_frequency_vocab, grounded_answers, treebank
+from glossaria.plans.corpus import ORACLE as _CORPUS
+from glossaria.plans.corpus import _SPACE, _TREEBANK, _WORDS, _peeled, _sql_reading, doc_frequency_vocab, grounded_answers, treebank
 from glossaria.plans.lexicon import _EDGES, pointer_edges
 from glossaria.operators.skew import spread
 from glossaria.tables import table
@@ -144,7 +145,7 @@ def defect_reasons(spark: SparkSession, sf: str) -> DataFrame:
 def ship_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Why a line is not shipped, the first reason that holds; a null gloss counts as unglossed."""
     rows = glosses_with_reasons(spark, sf)
-    not_gloss = F.arrays_overlap("reasons", F.array(*map(F.lit, ["bare-echo", "word-class", "form-note", "editorial-apparatus", "fragment"])))
+    not_gloss = F.arrays_overlap("reasons", F.array(*map(F.lit, ["bare-echo", "word-class", "form-note", "editorial-apparatus", "fragment", "etymology-leak"])))
     reason = (
         F.when(F.coalesce(F.trim("gloss"), F.lit("")) == "", "no gloss")
         .when(F.array_contains("reasons", "ungrounded"), "ungrounded")
@@ -367,11 +368,51 @@ _COLLAPSE = " ".join(
     f"WHEN len(list_filter(range(1, len(w) - {2 * n} + 2), lambda i: w[i:i + {n - 1}] = w[i + {n}:i + {2 * n - 1}])) > 0 THEN array_to_string(w[1:list_filter(range(1, len(w) - {2 * n} + 2), lambda i: w[i:i + {n - 1}] = w[i + {n}:i + {2 * n - 1}])[1] + {n - 1}], ' ')"
     for n in range(1, 9)
 )
+_VOCAB = _CORPUS["doc_frequency_vocab"]
 _STOPS = "[" + ", ".join(f"'{w}'" for w in Q.STOP_WORDS) + "]"
 _STEMMED = f"list_transform(list_filter(string_split(regexp_replace(TEXT, '[^a-z ]', ' ', 'g'), ' '), lambda w: length(w) > 2 AND NOT list_contains({_STOPS}, w)), lambda w: substr(w, 1, greatest(4, length(w) - 2)))"
 _ECHO = "(len(PARTS) > 0 AND h <> '' AND len(list_filter(PARTS, lambda p: NOT (p.l = h OR list_contains(['ae','i','is','us','um','a','onis','ei','n','m','f','entis','atis','inis'], lower(p.t))))) = 0)"
 _PARTS_OF = "list_transform(list_filter(list_transform(string_split(regexp_replace(GLOSS, ';', ',', 'g'), ','), lambda p: trim(p)), lambda p: p <> ''), lambda p: {'t': p, 'l': " + N.sql_letters("p") + "})"
+_FOCUSED = _SPACE.format(x=f"split_part(body, ',', 1) || ': ' || {_peeled('body')}")
+_AGAINST = rf"\b\p{{Lu}}\p{{L}}{{1,6}}\.\s*(?:{'|'.join(Q.AGAINST)})\.?\s+\p{{Lu}}\p{{L}}*\.?|[—-]\s*(?i:Adv)\.|(?i:\bby conj)\."
+_LISTED = {n: "[" + ", ".join(f"'{w}'" for w in v) + "]" for n, v in (("func", Q.FUNCTION_WORDS), ("pron", Q.PRONOUNS), ("alone", Q.NEVER_ALONE), ("last", Q.NEVER_LAST))}
+_ALL = "len(list_filter({x}, lambda w: NOT list_contains({y}, w))) = 0"
+_OWN_MARK = rf"""
+    len(list_filter(range(2, 6), lambda i: regexp_matches(coalesce(hp[i], ''), '(?i)^\s*(?:[a-z]\.\s*)?(?:{'|'.join(Q.OWN_MARKS)})\b') AND length(hp[1]) <= 40
+        AND len(list_filter(range(2, i), lambda j: length(hp[j]) > 30)) = 0)) > 0"""
+_REASONED = rf"""
+    d AS (SELECT key, headword, gloss, source, count(*) AS n, CAST(coalesce(sum(freq), 0) AS BIGINT) AS freq FROM lemma_map WHERE key IS NOT NULL GROUP BY ALL),
+    b AS (SELECT key, min(body) AS body FROM entry GROUP BY key),
+    bf AS (SELECT key, body, focused, substr(regexp_replace(substr(focused, 1, 300), '{_AGAINST}', ' ', 'g'), 1, 80) AS line, string_split(substr(focused, 1, 120), ',') AS hp, {_STEMMED.replace('TEXT', N.sql_strip_accents('body'))} AS bs,
+                  {N.sql_letters(f"regexp_extract(substr(body, 1, 160), '{Q.ETYMON}', 1) || regexp_extract(substr(body, 1, 160), '{Q.ETYMON}', 2)")} AS etymon FROM (SELECT key, body, {_FOCUSED} AS focused FROM b) x),
+    v AS ({_VOCAB}),
+    j AS (SELECT d.*, trim(coalesce(gloss, '')) AS t, regexp_replace(source, '[~?]+$', '') AS origin, {N.sql_letters('headword')} AS h, hp, bs, coalesce(etymon, '') AS etymon, coalesce(regexp_matches(line, '(?i)\b(?:{'|'.join(Q.FUNCTION_MARKS)})\b'), false) AS isf
+          FROM d LEFT JOIN bf ON bf.key = d.key),
+    k AS (SELECT j.*, coalesce(v.n_entries, 0) AS uses, {_PARTS_OF.replace('GLOSS', 't')} AS parts, list_transform({_WORDS.format(x='t')}, lambda w: lower(regexp_replace(w, '^[,;.:]+|[,;.:]+$', '', 'g'))) AS w,
+                 {_STEMMED.replace('TEXT', N.sql_strip_accents('t'))} AS gs, {N.sql_letters('t')} AS tl, regexp_matches(translate(t, chr(8209), '-'), '{Q.FORM_NOTE}') AS noted FROM j LEFT JOIN v ON v.word = j.h),
+    reasoned AS (SELECT key, headword, gloss, source, n, freq, h, tl, t, CASE WHEN t = '' THEN [] ELSE list_filter([
+        CASE WHEN origin IN ('model', 'repaired', 'named') AND NOT isf AND len(gs) > 0 AND len(list_filter(gs, lambda x: list_contains(coalesce(bs, []), x))) = 0 THEN 'ungrounded' END,
+        CASE WHEN regexp_matches(t, '{Q.WORD_CLASS}') OR regexp_matches(t, '{Q.LETTER}') OR (NOT noted AND coalesce({_OWN_MARK}, false) AND (regexp_matches(t, '(?i)\b(?:{'|'.join(Q.CLASS_WORDS)})\b') OR regexp_matches(t, '{Q.FRAME}'))) THEN 'word-class' END,
+        CASE WHEN noted THEN 'form-note' END,
+        CASE WHEN regexp_matches(t, '{Q.LATIN_CHARS}') THEN 'latin-chars' END,
+        CASE WHEN regexp_matches(t, '{Q.EDITORIAL}') THEN 'editorial-apparatus' END,
+        CASE WHEN {_ECHO.replace('PARTS', 'parts')} THEN 'bare-echo' END,
+        CASE WHEN len(w) > 0 AND CASE WHEN {_ALL.format(x='w', y=_LISTED['func'])} AND NOT isf THEN len(w) > 1 AND NOT {_ALL.format(x='w', y=_LISTED['pron'])} OR list_contains({_LISTED['alone']}, w[1]) OR coalesce(origin, '') <> 'xref-resolved' AND NOT list_contains({_LISTED['pron']}, w[1])
+             ELSE len(w) = 3 AND w[1] = 'of' AND w[2] = 'or' OR len(w) > 1 AND list_contains({_LISTED['last']}, w[len(w)]) END THEN 'fragment' END,
+        CASE WHEN len(parts) > 1 AND h <> '' AND NOT regexp_matches(headword, '^[-^]*\p{{Lu}}') AND parts[1].l = h AND uses < 1 THEN 'head-echo' END,
+        CASE WHEN len(w) = 1 AND etymon <> '' AND etymon = tl AND etymon <> h THEN 'etymology-leak' END,
+        CASE WHEN origin = 'xref-resolved' AND regexp_matches(regexp_replace(headword, '\.+$', ''), '(e|iter|ter)$') AND regexp_matches(t, '^to\s') THEN 'adv-inherits-verb' END], lambda r: r IS NOT NULL) END AS reasons FROM k)"""
 ORACLE = {
+    "defect_reasons": f"WITH {_REASONED} SELECT reason, count(*) AS glosses, CAST(sum(n) AS BIGINT) AS lines, CAST(sum(freq) AS BIGINT) AS freq FROM (SELECT unnest(reasons) AS reason, n, freq FROM reasoned) u GROUP BY reason",
+    "ship_filter": f"""
+        WITH RECURSIVE {_REASONED}, {_EDGES}, short AS (SELECT idx AS node FROM entry WHERE length(body) < 200),
+        walk AS (SELECT src, dst AS node_at, [src, dst] AS path, 1 AS hops FROM edges WHERE src IN (SELECT node FROM short)
+                 UNION ALL SELECT w.src, e.dst, list_append(w.path, e.dst), w.hops + 1 FROM walk w JOIN edges e ON w.node_at = e.src WHERE w.hops < 4 AND w.node_at IN (SELECT node FROM short) AND NOT list_contains(w.path, e.dst)),
+        target AS (SELECT src, arg_max(node_at, hops) AS dst FROM walk GROUP BY src),
+        judged AS (SELECT key, source, n, freq, CASE WHEN t = '' THEN 'no gloss' WHEN list_contains(reasons, 'ungrounded') THEN 'ungrounded' WHEN list_has_any(reasons, ['bare-echo', 'word-class', 'form-note', 'editorial-apparatus', 'fragment', 'etymology-leak']) THEN 'detector' WHEN tl = h THEN 'echo' ELSE 'shipped' END AS reason FROM reasoned),
+        rejected AS (SELECT DISTINCT idx FROM entry WHERE key IN (SELECT key FROM judged WHERE reason = 'detector')),
+        taken AS (SELECT DISTINCT e.key FROM target t JOIN entry e ON e.idx = t.src WHERE t.dst IN (SELECT idx FROM rejected))
+        SELECT source, CASE WHEN reason = 'shipped' AND source LIKE 'xref%' AND key IN (SELECT key FROM taken) THEN 'inherits a rejected gloss' ELSE reason END AS reason, CAST(sum(n) AS BIGINT) AS lines, CAST(sum(freq) AS BIGINT) AS freq FROM judged GROUP BY ALL""",
     "stage_marks": f"""
         WITH RECURSIVE {_EDGES}, short AS (SELECT idx AS node FROM entry WHERE length(body) < 200),
         walk AS (SELECT src, dst AS node_at, [src, dst] AS path, 1 AS hops FROM edges WHERE src IN (SELECT node FROM short)
