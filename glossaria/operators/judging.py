@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from glossaria.functions.normalize import letters
+
 
 def consensus(a: Column, b: Column) -> Column:
     """Verdict of two judges, the first that holds: unjudged, both-bad, disagree, judgeB-ok, weak."""
@@ -61,6 +63,42 @@ def metric_change(kind: Column, old: Column, new: Column, old_share: Column, new
     )
 
 
+# Detectors whose objection means that a gloss says nothing of its word.
+NO_GLOSS = ["bare-echo", "word-class", "form-note", "editorial-apparatus", "fragment", "etymology-leak"]
+
+
+def ship_reason(source: Column, gloss: Column, lemma: Column, reasons: Column, own: Column | None = None, target: Column | None = None, target_is_function: Column | None = None) -> Column:
+    """Why a row is not shipped, the first that holds, or 'shipped'.
+
+    no gloss; unresolved (!); ungrounded (? or the detector); detector; adverb: a pointer marked as an adverb took over what is none,
+    where ``own`` and ``target`` are the two marks; echo of the lemma.
+    """
+    if own is None or target is None:
+        adverb = F.lit(False)
+    else:
+        function = F.coalesce(target_is_function, F.lit(False)) if target_is_function is not None else F.lit(False)
+        adverb = F.coalesce(source.startswith("xref") & (own == "adv") & ~function, F.lit(False)) & ~F.coalesce(target == "adv", F.lit(False))
+    return (
+        F.when(F.coalesce(F.trim(gloss), F.lit("")) == "", "no gloss")
+        .when(source.endswith("!"), "unresolved")
+        .when(source.contains("?") | F.array_contains(reasons, "ungrounded"), "ungrounded")
+        .when(F.arrays_overlap(reasons, F.array(*map(F.lit, NO_GLOSS))), "detector")
+        .when(adverb, "adverb")
+        .when(letters(gloss) == letters(lemma), "echo")
+        .otherwise("shipped")
+    )
+
+
+def scores_pass(score: Column, least: int) -> Column:
+    """Rows whose judge's score is below ``least`` are left out; those without a score pass."""
+    return F.coalesce(score >= least, F.lit(True))
+
+
+def repair_reason(gloss: Column, reasons: Column, score: Column, least: int) -> Column:
+    """What a row is to be repaired for, the first that holds, or null: it is empty, a detector objects, a judge gave at most ``least`` (failed judgements don't count)."""
+    return F.when(F.coalesce(F.trim(gloss), F.lit("")) == "", "empty").when(F.size(reasons) > 0, F.element_at(reasons, 1)).when(score.between(0, least), "judge")
+
+
 def shorten_accepted(old: Column, new: Column) -> Column:
     """A shortened gloss is taken if it says something in no more words than before."""
     return F.coalesce((F.trim(new) != "") & (F.size(F.split(F.trim(new), r"\s+")) <= F.size(F.split(F.trim(old), r"\s+"))), F.lit(False))

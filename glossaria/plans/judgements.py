@@ -15,7 +15,7 @@ from glossaria.operators.pointers import function_words as find_function_words
 from glossaria.operators.pointers import inherit_rejection, last_targets
 from glossaria.plans import articles
 from glossaria.plans.corpus import ORACLE as _CORPUS
-from glossaria.plans.corpus import _SPACE, _TREEBANK, _WORDS, _peeled, _sql_reading, doc_frequency_vocab, grounded_answers, treebank
+from glossaria.plans.corpus import _POS, _SPACE, _TREEBANK, _WORDS, _peeled, _sql_reading, doc_frequency_vocab, grounded_answers, treebank
 from glossaria.plans.lexicon import _EDGES, pointer_edges
 from glossaria.operators.skew import spread
 from glossaria.tables import table
@@ -145,14 +145,7 @@ def defect_reasons(spark: SparkSession, sf: str) -> DataFrame:
 def ship_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Why a line is not shipped, the first reason that holds; a null gloss counts as unglossed."""
     rows = glosses_with_reasons(spark, sf)
-    not_gloss = F.arrays_overlap("reasons", F.array(*map(F.lit, ["bare-echo", "word-class", "form-note", "editorial-apparatus", "fragment", "etymology-leak"])))
-    reason = (
-        F.when(F.coalesce(F.trim("gloss"), F.lit("")) == "", "no gloss")
-        .when(F.array_contains("reasons", "ungrounded"), "ungrounded")
-        .when(not_gloss, "detector")
-        .when(N.letters(F.col("gloss")) == N.letters(F.col("headword")), "echo")
-        .otherwise("shipped")
-    )
+    reason = judging.ship_reason(F.col("source"), F.col("gloss"), F.col("headword"), F.col("reasons"))
     judged = materialise(rows.select("key", "source", "n", "freq", reason.alias("reason")), "judged")
     # a pointer that took over a gloss the detectors reject is rejected with it
     entries = table(spark, sf, "entry", "idx", "key", "body")
@@ -172,6 +165,16 @@ def function_words(spark: SparkSession, sf: str) -> DataFrame:
     return find_function_words(entries, targets)
 
 
+def repair_wanted(spark: SparkSession, sf: str, least: int = 2) -> DataFrame:
+    """Articles whose last answer is to be repaired, with the reason: empty, objected to by a detector, or judged bad."""
+    last = checkpoint.latest(_answers(spark, sf), ["i"], "rec_id", ["g"])
+    rows = last.join(table(spark, sf, "entry", "idx", "headword", "body"), F.col("i") == F.col("idx")).withColumn("stems", Q.known_stems(F.col("body")))
+    reasons = Q.reasons(F.col("headword"), F.col("g"), F.lit("model"), F.col("body"), F.lit(1), F.col("stems"))
+    score = F.round(Q.grounding(F.coalesce("g", F.lit("")), F.col("stems")) * 5).cast("int")
+    rows = rows.select("i", "g", reasons.alias("reasons"), score.alias("score"))
+    return rows.select("i", judging.repair_reason(F.col("g"), F.col("reasons"), F.col("score"), least).alias("reason")).where("reason is not null")
+
+
 def _first_stages(spark: SparkSession, sf: str) -> DataFrame:
     """Entries with the log's answers taken in stages: main, retry for those that decline, name for those that echo; then over pointers."""
     entries = table(spark, sf, "entry", "idx", "key", "headword", "body")
@@ -342,6 +345,7 @@ QUERIES = {
     "defect_reasons": defect_reasons,
     "ship_filter": ship_filter,
     "function_words": function_words,
+    "repair_wanted": lambda spark, sf: repair_wanted(spark, sf),
     "stage_marks": stage_marks,
     "staged_glosses": staged_glosses,
     "refinalised": refinalised,
@@ -375,6 +379,8 @@ _ECHO = "(len(PARTS) > 0 AND h <> '' AND len(list_filter(PARTS, lambda p: NOT (p
 _PARTS_OF = "list_transform(list_filter(list_transform(string_split(regexp_replace(GLOSS, ';', ',', 'g'), ','), lambda p: trim(p)), lambda p: p <> ''), lambda p: {'t': p, 'l': " + N.sql_letters("p") + "})"
 _FOCUSED = _SPACE.format(x=f"split_part(body, ',', 1) || ': ' || {_peeled('body')}")
 _AGAINST = rf"\b\p{{Lu}}\p{{L}}{{1,6}}\.\s*(?:{'|'.join(Q.AGAINST)})\.?\s+\p{{Lu}}\p{{L}}*\.?|[—-]\s*(?i:Adv)\.|(?i:\bby conj)\."
+# word boundaries spelled out: those of this SQL know ASCII letters only
+_MARKED = r"(?i)(?:^|[^\p{L}\p{M}\p{N}_])(?:" + "|".join(Q.FUNCTION_MARKS) + r")(?:[^\p{L}\p{M}\p{N}_]|$)"
 _LISTED = {n: "[" + ", ".join(f"'{w}'" for w in v) + "]" for n, v in (("func", Q.FUNCTION_WORDS), ("pron", Q.PRONOUNS), ("alone", Q.NEVER_ALONE), ("last", Q.NEVER_LAST))}
 _ALL = "len(list_filter({x}, lambda w: NOT list_contains({y}, w))) = 0"
 _OWN_MARK = rf"""
@@ -386,7 +392,7 @@ _REASONED = rf"""
     bf AS (SELECT key, body, focused, substr(regexp_replace(substr(focused, 1, 300), '{_AGAINST}', ' ', 'g'), 1, 80) AS line, string_split(substr(focused, 1, 120), ',') AS hp, {_STEMMED.replace('TEXT', N.sql_strip_accents('body'))} AS bs,
                   {N.sql_letters(f"regexp_extract(substr(body, 1, 160), '{Q.ETYMON}', 1) || regexp_extract(substr(body, 1, 160), '{Q.ETYMON}', 2)")} AS etymon FROM (SELECT key, body, {_FOCUSED} AS focused FROM b) x),
     v AS ({_VOCAB}),
-    j AS (SELECT d.*, trim(coalesce(gloss, '')) AS t, regexp_replace(source, '[~?]+$', '') AS origin, {N.sql_letters('headword')} AS h, hp, bs, coalesce(etymon, '') AS etymon, coalesce(regexp_matches(line, '(?i)\b(?:{'|'.join(Q.FUNCTION_MARKS)})\b'), false) AS isf
+    j AS (SELECT d.*, trim(coalesce(gloss, '')) AS t, regexp_replace(source, '[~?]+$', '') AS origin, {N.sql_letters('headword')} AS h, hp, bs, coalesce(etymon, '') AS etymon, coalesce(regexp_matches(line, '{_MARKED}'), false) AS isf
           FROM d LEFT JOIN bf ON bf.key = d.key),
     k AS (SELECT j.*, coalesce(v.n_entries, 0) AS uses, {_PARTS_OF.replace('GLOSS', 't')} AS parts, list_transform({_WORDS.format(x='t')}, lambda w: lower(regexp_replace(w, '^[,;.:]+|[,;.:]+$', '', 'g'))) AS w,
                  {_STEMMED.replace('TEXT', N.sql_strip_accents('t'))} AS gs, {N.sql_letters('t')} AS tl, regexp_matches(translate(t, chr(8209), '-'), '{Q.FORM_NOTE}') AS noted FROM j LEFT JOIN v ON v.word = j.h),
@@ -413,6 +419,15 @@ ORACLE = {
         rejected AS (SELECT DISTINCT idx FROM entry WHERE key IN (SELECT key FROM judged WHERE reason = 'detector')),
         taken AS (SELECT DISTINCT e.key FROM target t JOIN entry e ON e.idx = t.src WHERE t.dst IN (SELECT idx FROM rejected))
         SELECT source, CASE WHEN reason = 'shipped' AND source LIKE 'xref%' AND key IN (SELECT key FROM taken) THEN 'inherits a rejected gloss' ELSE reason END AS reason, CAST(sum(n) AS BIGINT) AS lines, CAST(sum(freq) AS BIGINT) AS freq FROM judged GROUP BY ALL""",
+    "function_words": f"""
+        WITH RECURSIVE {_EDGES}, short AS (SELECT idx AS node FROM entry WHERE length(body) < 200),
+        walk AS (SELECT src, dst AS node_at, [src, dst] AS path, 1 AS hops FROM edges WHERE src IN (SELECT node FROM short)
+                 UNION ALL SELECT w.src, e.dst, list_append(w.path, e.dst), w.hops + 1 FROM walk w JOIN edges e ON w.node_at = e.src WHERE w.hops < 4 AND w.node_at IN (SELECT node FROM short) AND NOT list_contains(w.path, e.dst)),
+        target AS (SELECT src, arg_max(node_at, hops) AS dst FROM walk GROUP BY src),
+        f AS (SELECT idx, headword, body AS whole, substr(regexp_replace(substr({_FOCUSED}, 1, 300), '{_AGAINST}', ' ', 'g'), 1, 80) AS line, substr(regexp_replace(body, '\\([^()]*\\)', ' ', 'g'), 1, 60) AS body FROM entry),
+        own AS (SELECT idx FROM f WHERE coalesce(CASE {_POS} WHEN 'prep' THEN 'praep' ELSE {_POS} END, '') IN ('conj', 'praep', 'adv', 'pron', 'interj', 'num')
+                OR regexp_matches(line, '{_MARKED}') AND length({N.sql_letters('headword')}) > 1)
+        SELECT idx FROM own UNION SELECT f.idx FROM f JOIN target t ON t.src = f.idx WHERE length(whole) < 60 AND strpos(whole, '=') = 0 AND NOT rtrim(headword) LIKE '%-' AND t.dst IN (SELECT idx FROM own)""",
     "stage_marks": f"""
         WITH RECURSIVE {_EDGES}, short AS (SELECT idx AS node FROM entry WHERE length(body) < 200),
         walk AS (SELECT src, dst AS node_at, [src, dst] AS path, 1 AS hops FROM edges WHERE src IN (SELECT node FROM short)

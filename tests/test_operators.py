@@ -175,3 +175,46 @@ def test_shorten_and_carry(one):
     assert one(judging.shorten_accepted(F.col("a"), F.col("b")), a="to go away", b="go off") and not one(judging.shorten_accepted(F.col("a"), F.col("b")), a="go", b="to go")
     assert not one(judging.shorten_accepted(F.col("a"), F.col("b")), a="go", b=" ")
     assert one(judging.carried(F.col("s"), F.col("g"), F.col("q")), s="model", g="gate", q="xrefix~") and not one(judging.carried(F.col("s"), F.col("g"), F.col("q")), s="model", g="gate", q="model")
+
+
+@pytest.mark.parametrize(
+    ("source", "gloss", "reasons", "own", "target", "want"),
+    [
+        ("model", " ", [], None, None, "no gloss"), ("model!", "x", [], None, None, "unresolved"), ("model?", "x", [], None, None, "ungrounded"), ("model", "x", ["ungrounded"], None, None, "ungrounded"), ("model", "x", ["etymology-leak"], None, None, "detector"),
+        ("model", "x", ["latin-chars"], None, None, "shipped"), ("xref-resolved", "great", [], "adv", "adj", "adverb"), ("xref-resolved", "great", [], "adv", None, "adverb"), ("xref-resolved", "more", [], "adv", "adv", "shipped"), ("model", "great", [], "adv", "adj", "shipped"), ("tr", "Rosa", [], None, None, "echo"),
+    ],
+)
+def test_ship_reason(spark, source, gloss, reasons, own, target, want):
+    df = spark.createDataFrame([(source, gloss, "rosa", reasons, own, target)], "source string, gloss string, lemma string, reasons array<string>, own string, target string")
+    assert df.select(judging.ship_reason(*[F.col(c) for c in df.columns]).alias("r")).first()[0] == want
+
+
+def test_repair_reason_and_scores(spark):
+    df = spark.createDataFrame([(None, [], 5), ("x", ["fragment", "y"], 5), ("x", [], 2), ("x", [], -1), ("x", [], 4), ("x", [], None)], "g string, r array<string>, s int")
+    got = [r[0] for r in df.select(judging.repair_reason(F.col("g"), F.col("r"), F.col("s"), 2)).collect()]
+    assert got == ["empty", "fragment", "judge", None, None, None]
+    assert [r[0] for r in df.select(judging.scores_pass(F.col("s"), 3)).collect()] == [True, True, False, False, True, True]
+
+
+def test_salted_joins_equal_plain_ones(spark):
+    from glossaria.operators import skew
+
+    rows = spark.createDataFrame([(k, "hot" if k % 3 else f"c{k}") for k in range(300)] + [(900, None)], "id int, key string")
+    other = spark.createDataFrame([("hot", 1), ("c3", 2), ("c6", 3)], "key string, v int")
+    hot = skew.hot_hashes(rows.where("key is not null").groupBy("key").count().withColumnRenamed("count", "n"), ["key"], least_rows=50)
+    assert len(hot) == 1
+    for how in ("left", "left_semi", "left_anti", "inner"):
+        want = sorted(map(str, rows.join(other, "key", how).select("id").collect()))
+        assert sorted(map(str, skew.spread_join(rows.where("key is not null"), other, ["key"], how, hot).select("id").collect() + (rows.where("key is null").select("id").collect() if how in ("left", "left_anti") else []))) == want
+    assert skew.lookup_join(rows, other, "key", least_rows=50).where("v = 1").count() == 200
+    assert skew.heavy_values(rows, "key", least_rows=50) == ["hot"]
+
+
+def test_orphans_of_a_hot_key_with_many_spans(spark):
+    from glossaria.operators.orphans import Reference, find_orphans
+
+    target = spark.range(0, 200, 2).selectExpr("'hot' as key", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(id as int)) as added_at", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(cast(id + 1 as int)) as removed_at")
+    rows = spark.range(400).selectExpr("id as row_id", "'hot' as k", "timestamp_ntz '2024-01-01 06:00:00' + make_dt_interval(cast(id % 200 as int)) as at")
+    found = [find_orphans(rows, "row_id", "at", [Reference("k", target, "key")], least_rows=10, most_broadcast=most) for most in (5, 10_000)]
+    a, b = ({(r["row_id"], r["reason"]) for r in f.collect()} for f in found)
+    assert a == b == {(i, "deleted") for i in range(400) if i % 2}
