@@ -36,7 +36,7 @@ ORACLE = {
     "sense_lines": rf"""
         WITH l AS (SELECT idx, body, regexp_extract(body, '^(.*?(?:[mfn]|comm|dep|a)\. )', 1) AS line FROM entry),
         s AS (SELECT idx, substr(regexp_replace({_CLEAN.format(x="regexp_replace(line, '[(][^()]*[)]', ' ', 'g')")}, '^[ ,;:]+|[ ,;:]+$', '', 'g'), 1, 120) AS head, list_transform(string_split(substr(body, length(line) + 1), '; '), lambda t, i: {{'n': i, 'raw': t}}) AS parts FROM l),
-        t AS (SELECT idx, head, list_filter(list_transform(parts, lambda p: {{'two': regexp_matches(p.raw, '^[A-Z][a-z]+[.],'), 'n': p.n, 't': regexp_replace({_CLEAN.format(x="regexp_replace(p.raw, '([:;,]\s*){{2,}}', ' ', 'g')")}, '^[ ,;:.]+|[ ,;:.]+$', '', 'g')}}),
+        t AS (SELECT idx, head, list_filter(list_transform(parts, lambda p: {{'two': regexp_matches(p.raw, '^[A-Z][a-z]+[.],'), 'n': p.n, 't': regexp_replace({_CLEAN.format(x=r"regexp_replace(p.raw, '([:;,]\s*){{2,}}', ' ', 'g')")}, '^[ ,;:.]+|[ ,;:.]+$', '', 'g')}}),
                   lambda p: p.t <> '' AND NOT regexp_matches(p.t, '^([a-z]{{1,7}}\.\s*)+$')) AS lines FROM s),
         u AS (SELECT idx, head, list_transform(list_filter(lines, lambda p: NOT p.two), lambda p: p.n || '. ' || substr(p.t, 1, 70)) AS one, list_transform(list_filter(lines, lambda p: p.two), lambda p: p.n || '. ' || substr(p.t, 1, 70)) AS two FROM t),
         k AS (SELECT idx, head, two, {_CUM.format(l='one', used='length(head)')} AS one FROM u),
